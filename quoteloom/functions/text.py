@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\f\v"
+JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
 
 # Spellings that count as a missing value in number columns.
 MISSING_TEXT = [
@@ -32,13 +33,17 @@ def present(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    """Text to double; text that is no number gives NULL instead of failing."""
-    return nan_to_null(present(c).try_cast("double"))
+    """Text to double; text that is no number gives NULL instead of failing.
+
+    The missing-value spellings do not parse, or parse to NaN, so they need no test of their own. A
+    number with a Java type letter at its end (``1.5d``) would parse and is refused.
+    """
+    return nan_to_null(F.when(~c.rlike(JAVA_SUFFIX), c).try_cast("double"))
 
 
 def nan_to_null(c: Column) -> Column:
     """Spark sorts NaN above all numbers and does not count it as NULL; keep only NULL."""
-    return F.when(~F.isnan(c), c)
+    return F.nullif(c, F.lit(float("nan")))
 
 
 def missing(c: Column) -> Column:
@@ -48,8 +53,7 @@ def missing(c: Column) -> Column:
 
 def parses_or_missing(c: Column) -> Column:
     """True when the text is missing or a number."""
-    t = present(c)
-    return t.isNull() | t.try_cast("double").isNotNull()
+    return c.isNull() | strip(c).isin(MISSING_TEXT) | number(c).isNotNull()
 
 
 def whole(c: Column) -> Column:

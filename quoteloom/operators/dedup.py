@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _as_order(order: str | Column | list) -> Column:
@@ -17,12 +18,23 @@ def _as_order(order: str | Column | list) -> Column:
     return F.col(order) if isinstance(order, str) else order
 
 
+# Spark updates these in place in a hash aggregate's buffer; any other type means a sort aggregate.
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def _pick(df: DataFrame, keys: list[str], order, pick) -> DataFrame:
     by = _as_order(order)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    picked = df.groupBy(*keys).agg(*[pick(F.col(f"`{c}`"), by).alias(c) for c in rest])
+    types = [f.dataType for f in df.select(*[f"`{c}`" for c in rest], by).schema.fields]
+    grouped = df.groupBy(*[f"`{k}`" for k in keys])
+    if all(isinstance(t, _FIXED_WIDTH) for t in types):
+        picked = grouped.agg(*[pick(F.col(f"`{c}`"), by).alias(c) for c in rest])
+    else:
+        row = F.struct(*[F.col(f"`{c}`") for c in rest])
+        picked = grouped.agg(pick(row, by).alias("_row"))
+        picked = picked.select(*[f"`{k}`" for k in keys], *[F.col(f"_row.`{c}`").alias(c) for c in rest])
     return picked.select(*[f"`{c}`" for c in df.columns])
 
 

@@ -75,33 +75,37 @@ def statement_slots(statements: DataFrame) -> DataFrame:
 def fundamentals_wide(statements: DataFrame, quarters: int = QUARTERS, years: int = YEARS) -> DataFrame:
     """One row per symbol, ``q1_* .. q12_*`` and ``y1_* .. y5_*`` with a fixed column list.
 
-    Conditional aggregates instead of a pivot: the columns do not depend on the data, and the rows are
-    already partitioned by symbol, so this step adds no shuffle.
+    The slots of a symbol (at most 12 + 5) become two sorted arrays and each column reads one element:
+    two aggregates instead of the 63 of a pivot. The rows are already partitioned by symbol, so this
+    step adds no shuffle.
     """
     slots = statement_slots(statements)
-    kept = slots.filter(
-        ((F.col("freq") == "q") & (F.col("slot") <= quarters)) | ((F.col("freq") == "y") & (F.col("slot") <= years))
+    quarterly, yearly = F.col("freq") == "q", F.col("freq") == "y"
+    kept = slots.filter((quarterly & (F.col("slot") <= quarters)) | (yearly & (F.col("slot") <= years)))
+    row = F.struct(
+        "slot", F.when(F.col("has_net_income"), F.col("period_end")).alias("dated"), *LINE_ITEMS
+    )
+    arrays = kept.groupBy("symbol").agg(
+        F.sort_array(F.collect_list(F.when(quarterly, row))).alias("q"),
+        F.sort_array(F.collect_list(F.when(yearly, row))).alias("y"),
     )
-
-    def at(freq: str, i: int, value: Column) -> Column:
-        return F.max(F.when((F.col("freq") == freq) & (F.col("slot") == i), value))
-
-    dated = F.when(F.col("has_net_income"), F.col("period_end"))
     columns = []
     for i in range(1, quarters + 1):
+        slot = F.get("q", F.lit(i - 1))
         columns += [
-            at("q", i, F.col("net_income")).alias(f"q{i}_net_income"),
-            at("q", i, dated).alias(f"q{i}_date"),
-            at("q", i, F.col("revenue")).alias(f"q{i}_revenue"),
-            at("q", i, F.col("operating_income")).alias(f"q{i}_operating_income"),
+            slot["net_income"].alias(f"q{i}_net_income"),
+            slot["dated"].alias(f"q{i}_date"),
+            slot["revenue"].alias(f"q{i}_revenue"),
+            slot["operating_income"].alias(f"q{i}_operating_income"),
         ]
     for i in range(1, years + 1):
+        slot = F.get("y", F.lit(i - 1))
         columns += [
-            at("y", i, F.col("net_income")).alias(f"y{i}_net_income"),
-            at("y", i, F.year(dated)).alias(f"y{i}_year"),
-            at("y", i, F.col("revenue")).alias(f"y{i}_revenue"),
+            slot["net_income"].alias(f"y{i}_net_income"),
+            F.year(slot["dated"]).alias(f"y{i}_year"),
+            slot["revenue"].alias(f"y{i}_revenue"),
         ]
-    return kept.groupBy("symbol").agg(*columns)
+    return arrays.select("symbol", *columns)
 
 
 def with_fundamentals(attributes: DataFrame, wide: DataFrame) -> DataFrame:

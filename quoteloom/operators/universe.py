@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quoteloom.functions.choices import KNOWN_INDEXES, flags_for, known_key, parse_choice
+from quoteloom.functions.choices import FLAG_NAMES, KNOWN_INDEXES, flags_for, known_key, parse_choice
 from quoteloom.functions.symbols import (
     clean_batch_symbol,
     clean_symbol,
@@ -152,6 +152,21 @@ def by_choice(universe: DataFrame, choice: int | str) -> DataFrame:
     return by_flags(universe, flags_for(parse_choice(choice)))
 
 
+def by_every_choice(universe: DataFrame) -> DataFrame:
+    """P11 for all defined choices at once, as one row per (choice, symbol).
+
+    Each row is matched in place against the fixed choice table: no join and no shuffle.
+    """
+    keys = index_keys()
+    wanted = F.array(
+        *[
+            F.when(F.arrays_overlap(keys, F.array(*[F.lit(f) for f in flags])) if flags else F.lit(True), choice)
+            for choice, flags in FLAG_NAMES.items()
+        ]
+    )
+    return universe.select(F.explode(F.array_compact(wanted)).alias("choice"), *[f"`{c}`" for c in universe.columns])
+
+
 def flag_filter(flagged: DataFrame, flags: list[str]) -> DataFrame:
     """P11 over stored boolean columns: unknown columns are ignored, if all are unknown no row stays."""
     if not flags:

@@ -15,14 +15,15 @@ from quoteloom.sources.history import read_bars
 
 
 def merge_bulk(rows: DataFrame, stored: DataFrame, symbols: DataFrame | None) -> DataFrame:
-    """The bars to add, with ``status`` for those already stored.
+    """The bars to add: of requested symbols, one per (symbol, date), not stored yet.
 
-    Only symbol and date of the stored bars are read, and only of the dates delivered.
+    Rows of other symbols go before anything is grouped; only symbol and date of ``stored`` are read.
     """
-    bars = last_written(rows)
-    if symbols is not None:
-        bars = restrict(bars, symbols)
-    return insert_only(stored, bars)
+    return insert_only(stored, delivered_bars(rows, symbols))
+
+
+def delivered_bars(rows: DataFrame, symbols: DataFrame | None) -> DataFrame:
+    return last_written(rows if symbols is None else restrict(rows, symbols))
 
 
 def run_bulk(
@@ -37,11 +38,7 @@ def run_bulk(
     The dates are known from the file names, so the stored table is read for those partitions only.
     A late file is merged like any other (T2).
     """
-    rows = stage(read_bulk(spark, paths), "bulk")
-    delivered = last_written(rows)
-    if symbols is not None:
-        delivered = restrict(delivered, symbols)
-    delivered = stage(delivered, "delivered")
+    delivered = stage(delivered_bars(read_bulk(spark, paths), symbols), "delivered")
     dates = [r[0] for r in delivered.select("date").distinct().collect()]
     stored = read_bars(spark, bars_path, interval).filter(F.col("date").isin(dates))
     known = stored.select("symbol", "date").withColumn("_known", F.lit(True)).distinct()

@@ -10,6 +10,7 @@ from quoteloom.functions.text import boolean, dash_list
 from quoteloom.operators.info import info, provider_info
 from quoteloom.operators.universe import (
     by_choice,
+    by_every_choice,
     clean_batch_symbols,
     clean_symbols,
     clean_web_symbols,
@@ -165,13 +166,21 @@ def _flags_sql(flags: list[str]) -> str:
     + ") SELECT * FROM picked",
 )
 def universe_by_choice(spark, sf):
-    """All sixteen choices at once: each row is matched against the fixed choice table in its own row."""
-    flags = choice_map(spark).filter("kind = 'flags'")
-    members = membership(i.universe(spark, sf))
-    picked = members.join(F.broadcast(flags), members.index_key == flags.key).select("choice", "symbol").distinct()
-    rows = i.universe(spark, sf).select("symbol", "market_cap", "sector")
-    everything = rows.select(F.lit(0).alias("choice"), "*")
-    return everything.unionByName(rows.join(picked, "symbol").select("choice", "symbol", "market_cap", "sector"))
+    return by_every_choice(i.universe(spark, sf)).select("choice", "symbol", "market_cap", "sector")
+
+
+@query(
+    "choice_members",
+    "F15 M10 B7",
+    f"""WITH {i.MEMBERSHIP_SQL}, flags(choice, key) AS (VALUES """
+    + ", ".join(f"({c}, '{k}')" for c, keys in FLAG_NAMES.items() for k in keys)
+    + """) SELECT choice, index_key, count(*) AS members FROM membership JOIN flags ON index_key = key GROUP BY ALL""",
+)
+def choice_members(spark, sf):
+    """Members per choice and flag, through the choice table as a dimension of fixed size."""
+    flags = choice_map(spark).filter("kind = 'flags'").select("choice", F.col("key").alias("index_key"))
+    counts = members_per_index(membership(i.universe(spark, sf)))
+    return counts.join(flags, "index_key").select("choice", "index_key", "members")
 
 
 @query("universe_single_choice", "P11", f"WITH {i.MEMBERSHIP_SQL} {_flags_sql(FLAG_NAMES[13])}")

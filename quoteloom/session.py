@@ -15,11 +15,13 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # Without it every Column call also records its Python call site.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def build_session(app: str = "quoteloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with this library's settings; extra settings as ``spark_sql_x="v"`` or a dict via ``**``."""
+    """A session with this library's settings; extra settings as ``**{"spark.x": "v"}``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

@@ -72,11 +72,5 @@ def read_bulk(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def last_written(rows: DataFrame) -> DataFrame:
-    """One row per (symbol, date): the last row of the file that sorts last by name.
-
-    First the last row inside each file, by one fixed-width key; then the last file.
-    """
-    inside = keep_last(rows, ["symbol", "date", "file_name"], "row_order")
-    return keep_last(inside, ["symbol", "date"], "file_name").drop("file_name", "row_order")
-
-
+    """One row per (symbol, date): the last row of the file that sorts last by name."""
+    return keep_last(rows, ["symbol", "date"], ["file_name", "row_order"]).drop("file_name", "row_order")
