@@ -40,11 +40,13 @@ def bulk_rows(raw: DataFrame) -> DataFrame:
     """P1d, P4, P5, P6: text columns of a snapshot to valid bars.
 
     Open, price and volume must be numbers; high and low may be missing but must not be other text; a
-    volume that fits no bigint rejects its row only (B6). ``raw`` also has ``date`` and the order columns.
+    volume that fits no bigint rejects its row only (B6). ``raw`` also has ``date``, NULL for a file without
+    a date in its name (B10), and the order columns.
     """
     text = {out: F.col(f"`{header}`").cast("string") for header, out in BULK_COLUMNS}
     valid = (
-        clean_symbol(text["symbol"]).isNotNull()
+        F.col("date").isNotNull()
+        & clean_symbol(text["symbol"]).isNotNull()
         & number(text["open"]).isNotNull()
         & number(text["close"]).isNotNull()
         & whole(text["volume"]).isNotNull()

@@ -47,14 +47,12 @@ def row_order() -> Column:
     return order_key(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.csv", recursive: bool = False) -> DataFrame:
-    """(path, name) of the files in a folder; their content is not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(folder)
-    )
+def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(path, name) of the files of a folder, not of its subfolders; their content is not read."""
+    pattern = f"{folder.rstrip('/')}/{glob}"
+    if not exists(spark, pattern):
+        return empty(spark, "path string, name string")
+    files = spark.read.format("binaryFile").load(pattern)
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
