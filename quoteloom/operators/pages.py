@@ -50,17 +50,20 @@ def table_cells(pages: DataFrame, table_no: int, key: str = "url") -> DataFrame:
 def html_table_column(pages: DataFrame, table_no: int, column: str, key: str = "url") -> DataFrame:
     """One named column of a page's table, below its header row, as (key, row_no, value).
 
-    The header position travels along as an array made before the rows are exploded, so no join and
-    no grouping by page is needed.
+    The wanted cells are picked inside the array of rows, and only they are exploded: no join, no
+    grouping by page, and no filter that would make Spark search the page text a second time.
     """
     table = F.get(F.regexp_extract_all("html", F.lit(TABLE), F.lit(0)), F.lit(table_no))
-    rows = F.regexp_extract_all(table, F.lit(ROW), F.lit(0))
-    with_rows = pages.select(key, rows.alias("rows")).filter(F.size("rows") > 0)
-    header = F.transform(F.regexp_extract_all(F.get("rows", F.lit(0)), F.lit(CELL), F.lit(1)), cell_text)
-    located = with_rows.select(key, "rows", F.array_position(header, column).alias("at")).filter("at > 0")
-    body = located.select(key, "at", F.posexplode("rows").alias("row_no", "row_html")).filter("row_no > 0")
-    cell = F.get(F.regexp_extract_all("row_html", F.lit(CELL), F.lit(1)), (F.col("at") - 1).cast("int"))
-    return body.select(key, "row_no", cell_text(cell).alias("value")).filter(F.col("value").isNotNull())
+
+    def cells(row: Column) -> Column:
+        return F.regexp_extract_all(row, F.lit(CELL), F.lit(1))
+
+    with_rows = pages.select(key, F.regexp_extract_all(table, F.lit(ROW), F.lit(0)).alias("rows"))
+    header = F.transform(cells(F.get("rows", F.lit(0))), cell_text)
+    located = with_rows.select(key, "rows", F.array_position(header, column).cast("int").alias("at"))
+    values = F.transform("rows", lambda row: cell_text(F.get(cells(row), F.col("at") - 1)))
+    found = located.select(key, F.posexplode(F.when(F.col("at") > 0, values)).alias("row_no", "value"))
+    return found.filter((F.col("row_no") > 0) & F.col("value").isNotNull())
 
 
 def html_list_items(pages: DataFrame, item: str = LIST_ITEM, key: str = "url") -> DataFrame:

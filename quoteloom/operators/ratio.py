@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quoteloom.functions.text import number
-from quoteloom.operators.merge import upsert_new_wins
+
 
 # Fixed value: where the ratio stands in a landed page.
 RATIO_PATTERN = r">EQUITY PUT/CALL RATIO</td><td[^>]*>([\d.]+)</td>"
@@ -47,8 +47,13 @@ def new_values(published: DataFrame, known: DataFrame, today: date, lookback: in
 
 
 def refresh(known: DataFrame, published: DataFrame, today: date, lookback: int = LOOKBACK) -> DataFrame:
-    """The series with its gap filled; a new value wins over a stored one."""
-    return upsert_new_wins(known, new_values(published, known, today, lookback), ["date"]).orderBy("date")
+    """The series with its gap filled; a new value wins over a stored one.
+
+    One row per day on both sides, so the union is grouped and neither side is evaluated twice.
+    """
+    new = new_values(published, known, today, lookback)
+    both = known.select("date", "ratio", F.lit(0).alias("rank")).unionByName(new.withColumn("rank", F.lit(1)))
+    return both.groupBy("date").agg(F.max_by("ratio", "rank").alias("ratio")).orderBy("date")
 
 
 def latest_value(series: DataFrame) -> DataFrame:

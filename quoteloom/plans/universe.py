@@ -53,11 +53,11 @@ def run_choice(spark: SparkSession, choice: int | str, universe: DataFrame | Non
     numbers = parse_choice(choice)
     labels = list(dict.fromkeys(["0", *[str(n) for n in numbers], str(choice)]))
     if universe is not None:
-        keys = flag_columns(universe.drop("pos"))
         universe = stage(universe, "universe")
+        flagged = flag_columns(universe.drop("pos"))
     for label in labels:
         if label == "0" and universe is not None:
-            write_choice(keys, label, out)
+            write_choice(flagged, label, out)
         elif kind == "flags" and universe is not None:
             write_choice(by_choice(universe, label).drop("pos"), label, out)
         else:
