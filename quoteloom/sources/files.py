@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from quoteloom.functions.text import order_key
 from quoteloom.schemas import empty
 
+# Header lines are looked for in this many bytes; files up to SMALL_FILE bytes may be loaded whole.
 HEADER_BYTES = 65536
+SMALL_FILE = 8 * 1024 * 1024
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -59,17 +62,27 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFra
 def header_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], list[str]]]:
     """Files with the same header line, as (column names, paths).
 
-    The first lines are read by the executors, one task per group of files; the driver receives as
-    many names as it had to list anyway.
+    The first lines of small files come from one job. A large file is opened by the CSV reader, which
+    reads one line of it; several are opened at a time. Neither way loads a large file, and the driver
+    receives no more names than it had to list anyway.
     """
+    files = spark.read.format("binaryFile").load(paths)
     line = F.substring_index(F.decode(F.substring("content", 1, HEADER_BYTES), "UTF-8"), "\n", 1)
-    rows = (
-        spark.read.format("binaryFile").load(paths)
-        .select("path", F.translate(line, "\r﻿", "").alias("header"))
+    small = (
+        files.filter(F.col("length") <= SMALL_FILE)
+        .select("path", F.translate(line, "\r\ufeff", "").alias("header"))
         .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("header").collect()
+        .collect()
     )
-    return [(next(csv.reader([r["header"]]), []), list(r["paths"])) for r in rows if r["header"].strip()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in small:
+        if row["header"].strip():
+            groups.setdefault(tuple(next(csv.reader([row["header"]]))), []).extend(row["paths"])
+    large = [r["path"] for r in files.filter(F.col("length") > SMALL_FILE).select("path").collect()]
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        for path, names in zip(large, pool.map(lambda p: spark.read.csv(p, header=True).columns, large)):
+            groups.setdefault(tuple(names), []).append(path)
+    return [(list(names), sorted(found)) for names, found in sorted(groups.items())]
 
 
 def _unique(names: list[str]) -> list[str]:

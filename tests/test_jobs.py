@@ -94,6 +94,13 @@ def test_bulk_rows_by_header(spark, tmp_path):
     assert bulk_source.read_bulk(spark, []).count() == 0
 
 
+def test_large_files_are_grouped_by_header_too(spark, tmp_path, monkeypatch):
+    _, paths = bulk_source.latest_files(spark, bulk_folder(tmp_path))
+    small = rows(bulk_source.last_written(bulk_source.read_bulk(spark, paths)))
+    monkeypatch.setattr(files, "SMALL_FILE", 120)
+    assert rows(bulk_source.last_written(bulk_source.read_bulk(spark, paths))) == small
+
+
 def test_bulk_merge_and_backfill(spark, tmp_path):
     folder, store = bulk_folder(tmp_path / "in"), str(tmp_path / "bars")
     asked = symbols(spark, "AAPL", "SPY", "BRK-A", "OLD")
