@@ -93,11 +93,17 @@ def attributes_from_json(landed: DataFrame, json: str = "json") -> DataFrame:
 
 
 def info_from_attributes(attributes: DataFrame) -> DataFrame:
-    """Provider attributes under the info names; the currency defaults to USD."""
+    """Provider attributes under the info names; the currency defaults to USD.
+
+    ``earningsDate`` is used when it was landed; the other dates and the rating have no provider field.
+    """
     return attributes.select(
         "symbol",
         F.col("shortName").alias("description"),
         F.col("marketCap").alias("market_capitalization"),
         F.coalesce("currency", F.lit("USD")).alias("market_cap_currency"),
         "sector", "industry", "exchange",
+        F.lit(None).cast("string").alias("analyst_rating"),
+        _or_null(attributes, "earningsDate").alias("upcoming_earnings_date"),
+        F.lit(None).cast("string").alias("recent_earnings_date"),
     )

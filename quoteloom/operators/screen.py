@@ -1,7 +1,7 @@
 """Growth score and screen over company fundamentals.
 
-Everything but the funnel counts is row-local: no shuffle at any size. The rules are those the
-original program keeps switched off; they are optional here too.
+Everything but the funnel counts is row-local: no shuffle at any size. Score and screen are optional:
+the fundamentals job only runs them when asked to.
 """
 
 from __future__ import annotations

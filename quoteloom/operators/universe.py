@@ -100,6 +100,16 @@ def top_indexes(members: DataFrame, n: int = 10) -> DataFrame:
     return members_per_index(members).orderBy(F.desc("members"), "index_key").limit(n)
 
 
+def sample_symbols(symbols: DataFrame, n: int = 5, seed: str = "0") -> DataFrame:
+    """N symbols picked by a hash, so that a repeated run picks the same ones."""
+    return symbols.select("symbol").orderBy(F.md5(F.concat(F.lit(seed), F.col("symbol"))), "symbol").limit(n)
+
+
+def preview(df: DataFrame, order: str = "pos", n: int = 5) -> DataFrame:
+    """The first n rows."""
+    return df.orderBy(order).limit(n)
+
+
 def found_index_keys(universe: DataFrame, most: int = 5000) -> list[str]:
     """Sorted keys that occur. They become column names, so they have to fit on the driver."""
     keys = [r[0] for r in membership(universe).select("index_key").distinct().limit(most + 1).collect()]

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quoteloom.functions.dates import resolve_range
 from quoteloom.operators.bars import batch_bars, select_dates
 from quoteloom.operators.coverage import newly_rejected, written_counts
 from quoteloom.operators.merge import add_rejects
@@ -54,6 +55,7 @@ def run_batch(
     seen, counts = [], {}
     for interval, rows in landed.items():
         start, end, period = (ranges or {}).get(interval, (None, None, "max"))
+        start, end = resolve_range(start, end, today)
         bars = as_bars(prepare_bars(rows, symbols, order, start, end, period, today), interval, "batch")
         bars = stage(bars, "bars")
         replace_dates(bars, bars_path)

@@ -17,15 +17,14 @@ from quoteloom.session import stage
 from quoteloom.sources.history import read_bars
 
 
-def request_starts(symbols: DataFrame, stored: DataFrame, interval: str, start: str | None = None) -> DataFrame:
-    """A3: first date wanted per symbol.
+def request_starts(symbols: DataFrame, last: DataFrame, interval: str, start: str | None = None) -> DataFrame:
+    """First date wanted per symbol, from the newest stored dates (A3).
 
     Daily: the day after the newest stored bar. Weekly and monthly: the newest label itself, as that
     bar may still grow (B9). Symbols without history start at the interval's first date.
     """
     first = F.lit(start or HISTORY_START[interval]).cast("date")
     step = 1 if interval == "1d" else 0
-    last = latest_dates(stored)
     return symbols.select("symbol").join(last, "symbol", "left").select(
         "symbol", F.coalesce(F.date_add("last_date", step), first).alias("start")
     )
@@ -54,17 +53,20 @@ def run_history(
 ) -> DataFrame:
     """Merge landed bars into the stored ones; returns the written rows.
 
-    Only the dates that are delivered are read back and replaced. A symbol counts as good when it has
-    stored or new bars (``errors`` lists the others with their reason).
+    The stored table is read twice: its symbol column once, for the newest date of each symbol, and
+    then in full only the dates that are delivered, which are the ones replaced. A symbol counts as
+    good when it has stored or new bars (``errors`` lists the others with their reason).
     """
     stored = read_bars(spark, bars_path, interval)
-    starts = request_starts(symbols, stored, interval)
+    last = stage(latest_dates(stored), "last")
+    starts = request_starts(symbols, last, interval)
     new = keep_last(wanted(landed, starts, end), ["symbol", "date"], order)
     new = stage(as_bars(new.drop("pos"), interval, "history"), "new")
-    touched = stored.join(new.select("date").distinct(), "date", "left_semi")
+    dates = [r[0] for r in new.select("date").distinct().collect()]
+    touched = stored.filter(F.col("date").isin(dates))
     merged = stage(upsert_new_wins(touched, new.select(*touched.columns)), "merged")
     good = stage(
-        stored.select("symbol").unionByName(new.select("symbol")).join(symbols.select("symbol"), "symbol", "left_semi").distinct(),
+        last.select("symbol").unionByName(new.select("symbol")).join(symbols.select("symbol"), "symbol", "left_semi").distinct(),
         "good",
     )
     replace_dates_staged(merged, bars_path)

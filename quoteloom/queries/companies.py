@@ -197,7 +197,9 @@ def attribute_snapshot(spark, sf):
     """SELECT CAST(event_id AS VARCHAR) AS symbol, CAST(NULL AS VARCHAR) AS description,
       CASE WHEN event_type = 'error' THEN NULL ELSE value END AS market_capitalization,
       CASE WHEN event_type = 'click' THEN 'EUR' ELSE 'USD' END AS market_cap_currency,
-      event_type AS sector, CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS exchange FROM events""",
+      event_type AS sector, CAST(NULL AS VARCHAR) AS industry, CAST(NULL AS VARCHAR) AS exchange,
+      CAST(NULL AS VARCHAR) AS analyst_rating, CAST(NULL AS VARCHAR) AS upcoming_earnings_date,
+      CAST(NULL AS VARCHAR) AS recent_earnings_date FROM events""",
 )
 def attribute_info(spark, sf):
     kind = F.col("event_type")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quoteloom.functions.dates import stored_day
 from quoteloom.operators.bars import latest_bar
+from quoteloom.operators.coverage import latest_dates
 from quoteloom.operators.merge import (
     add_rejects,
     insert_only,
@@ -84,7 +85,7 @@ def bulk_new_bars(spark, sf):
 def history_incremental(spark, sf):
     """Each symbol's delivery begins the day after its own newest stored bar."""
     old, new = _old_new(spark, sf)
-    fresh = wanted(new, request_starts(i.requested(spark, sf), old, "1d"))
+    fresh = wanted(new, request_starts(i.requested(spark, sf), latest_dates(old), "1d"))
     return upsert_new_wins(old, fresh.select(*old.columns))
 
 

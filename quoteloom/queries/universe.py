@@ -19,6 +19,8 @@ from quoteloom.operators.universe import (
     membership,
     members_per_index,
     normalise_headers,
+    preview,
+    sample_symbols,
     top_indexes,
     union_lists,
 )
@@ -74,6 +76,24 @@ def universe_normalised(spark, sf):
     return i.universe(spark, sf).drop("indexes")
 
 
+@query(
+    "symbol_sample",
+    "O9",
+    f"WITH {i.UNIVERSE_SQL} SELECT symbol FROM universe ORDER BY md5(concat('7', symbol)), symbol LIMIT 5",
+)
+def symbol_sample(spark, sf):
+    return sample_symbols(i.universe(spark, sf), 5, "7")
+
+
+@query(
+    "universe_preview",
+    "O10",
+    f"WITH {i.UNIVERSE_SQL} SELECT symbol, description, pos FROM universe ORDER BY pos LIMIT 5",
+)
+def universe_preview(spark, sf):
+    return preview(i.universe(spark, sf)).select("symbol", "description", "pos")
+
+
 @query("index_membership", "M5 F2 F3 F5", f"WITH {i.MEMBERSHIP_SQL} SELECT * FROM membership")
 def index_membership(spark, sf):
     return membership(i.universe(spark, sf))

@@ -138,3 +138,21 @@ def write_lists(lists: DataFrame, path: str) -> None:
 def write_info(info: DataFrame, choice: int | str, path: str) -> None:
     """Info rows of one choice."""
     _replace_value(info, path, "choice", choice)
+
+
+def write_history_buckets(bars: DataFrame, table: str, path: str, buckets: int) -> None:
+    """K2, K3: the history of each symbol kept together, as a table of ``buckets`` buckets by symbol.
+
+    Windows, aggregates and joins by symbol over this table read it without a shuffle. Meant for one
+    interval and rebuilt from the date partitions; a full replacement.
+    """
+    (
+        bars.repartition(buckets, "symbol").write.mode("overwrite").format("parquet")
+        .option("path", path).bucketBy(buckets, "symbol").sortBy("symbol", "date").saveAsTable(table)
+    )
+
+
+def export_csv(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
+    """CSV with a header line for programs that read text, such as one folder per interval and date."""
+    spread = _spread(df, partitions) if partitions else df
+    spread.write.mode("overwrite").option("header", True).partitionBy(*(partitions or [])).csv(path)

@@ -39,7 +39,17 @@ def first_existing(spark: SparkSession, paths: list[str]) -> str:
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A stored Parquet table with a fixed schema; a missing path is an empty table."""
-    return spark.read.schema(schema).parquet(path) if exists(spark, path) else empty(spark, schema)
+    return read_partitions(spark, path, path, schema)
+
+
+def read_partitions(spark: SparkSession, root: str, below: str, schema: str) -> DataFrame:
+    """The part ``below`` of a partitioned table at ``root``; only that part is listed."""
+    try:
+        return spark.read.schema(schema).option("basePath", root).parquet(below)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return empty(spark, schema)
+        raise
 
 
 def row_order() -> Column:

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from quoteloom.functions.dates import stored_day, zone_suffix
 from quoteloom.functions.text import number, whole
 from quoteloom.schemas import BARS, STATEMENTS
-from quoteloom.sources.files import list_files, read_csv_files, read_table, union_by_name
+from quoteloom.sources.files import list_files, read_csv_files, read_partitions, read_table, union_by_name
 
 
 def read_bars(spark: SparkSession, path: str, interval: str | None = None) -> DataFrame:
-    """Stored bars; the interval is a partition, so other intervals are never listed or read."""
-    bars = read_table(spark, path, BARS)
-    return bars if interval is None else bars.filter(F.col("interval") == interval)
+    """Stored bars; with an interval, the partitions of other intervals are not even listed."""
+    if interval is None:
+        return read_table(spark, path, BARS)
+    return read_partitions(spark, path, f"{path.rstrip('/')}/interval={interval}", BARS)
 
 
 def read_history_folder(spark: SparkSession, folder: str) -> DataFrame:

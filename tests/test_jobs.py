@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from quoteloom.operators.trailing import moving_averages
 from quoteloom.operators.universe import build_universe
 from quoteloom.plans import batch, bulk, fundamentals, history, universe
 from quoteloom.plans.info import run_clean_lists
@@ -162,6 +163,28 @@ def test_replacing_dates_keeps_the_others(spark, tmp_path):
     assert rows(history_source.read_bars(spark, store).select("source").distinct()) == [("batch",)]
 
 
+def test_bucketed_history_needs_no_shuffle(spark, tmp_path):
+    data = [(s, date(2024, 1, d), float(d), d) for s in "ABCDE" for d in range(1, 9)]
+    bars = spark.createDataFrame(data, "symbol string, date date, close double, volume bigint")
+    tables.write_history_buckets(bars, "bucketed_bars", str(tmp_path / "b"), 4)
+    try:
+        stored = spark.table("bucketed_bars")
+        got = moving_averages(stored)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == rows(moving_averages(bars))
+    finally:
+        spark.sql("DROP TABLE bucketed_bars")
+
+
+def test_export_csv(spark, tmp_path):
+    df = spark.createDataFrame([("1d", "A", 1.5), ("1wk", "B", None)], "interval string, symbol string, close double")
+    tables.export_csv(df, str(tmp_path / "x"), ["interval"])
+    lines = [p.read_text() for p in sorted((tmp_path / "x" / "interval=1d").glob("*.csv"))]
+    assert lines == ["symbol,close\nA,1.5\n"]
+    tables.export_csv(df.drop("interval"), str(tmp_path / "y"))
+    assert spark.read.csv(str(tmp_path / "y"), header=True).count() == 2
+
+
 def landed(spark, *data):
     df = spark.createDataFrame([(*d, i) for i, d in enumerate(data)], "symbol string, date string, close double, pos bigint")
     return df.withColumn("date", F.col("date").cast("date"))

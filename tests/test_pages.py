@@ -23,7 +23,7 @@ def test_ratio_from_page(spark):
     assert rows(ratio.ratio_from_page(df)) == [("a", 0.62)]
 
 
-def reference_walk(known, published, today, lookback):
+def walk_back(known, published, today, lookback):
     """Day by day from today, as a plain loop."""
     out, day, looked = {}, today, 0
     while looked < 3 * lookback and len(out) < lookback:
@@ -42,7 +42,7 @@ def test_refresh_equals_the_walk(spark, last, lookback):
     published = {TODAY - timedelta(days=k): float(k) for k in range(60) if (TODAY - timedelta(days=k)).weekday() < 5}
     known = {} if last is None else {d: -v for d, v in published.items() if d <= TODAY - timedelta(days=last)}
     known[TODAY + timedelta(days=9)] = 5.0
-    expected = {**known, **reference_walk(known, published, TODAY, lookback)}
+    expected = {**known, **walk_back(known, published, TODAY, lookback)}
     got = ratio.refresh(series(spark, list(known.items())), series(spark, list(published.items())), TODAY, lookback)
     collected = [tuple(r) for r in got.collect()]
     assert dict(collected) == expected
