@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteloom.functions.dates import stored_day, zone_suffix
-from quoteloom.functions.text import number, whole
+from quoteloom.functions.text import blank_to_null, number, whole
 from quoteloom.schemas import BARS, STATEMENTS
 from quoteloom.sources.files import list_files, read_csv_files, read_partitions, read_table, union_by_name
 
@@ -25,10 +25,7 @@ def read_history_folder(spark: SparkSession, folder: str) -> DataFrame:
     """
     paths = [r["path"] for r in list_files(spark, folder).select("path").collect()]
     raw = union_by_name(read_csv_files(spark, paths))
-
-    def text(name: str):
-        return F.col(f"`{name}`") if name in raw.columns else F.lit(None).cast("string")
-
+    text = _text_columns(raw)
     return raw.select(
         F.regexp_replace("file_name", r"\.csv$", "").alias("symbol"),
         stored_day(F.col("Date")).alias("date"),
@@ -47,3 +44,46 @@ def read_history_folder(spark: SparkSession, folder: str) -> DataFrame:
 def read_statements(spark: SparkSession, path: str) -> DataFrame:
     """Landed statements in long form."""
     return read_table(spark, path, STATEMENTS)
+
+
+def _text_columns(raw: DataFrame):
+    def text(*names: str):
+        found = next((n for n in names if n in raw.columns), None)
+        return F.lit(None).cast("string") if found is None else F.col(f"`{found}`")
+
+    return text
+
+
+def read_dated_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """M3: CSV files of one date each, all symbols in each, as long bars with ``pos``."""
+    paths = [r["path"] for r in list_files(spark, folder).select("path").collect()]
+    raw = union_by_name(read_csv_files(spark, paths))
+    text = _text_columns(raw)
+    return raw.select(
+        stored_day(text("Date")).alias("date"),
+        blank_to_null(text("Symbol", "ticker")).alias("symbol"),
+        *[number(text(n)).alias(n.lower()) for n in ("Open", "High", "Low", "Close")],
+        number(text("Adj Close")).alias("adj_close"),
+        whole(text("Volume")).alias("volume"),
+        F.col("row_order").alias("pos"),
+    )
+
+
+def read_ratio_csv(spark: SparkSession, path: str) -> DataFrame:
+    """M9: a ratio series kept as CSV, the date first and the ratio second."""
+    (raw,) = read_csv_files(spark, [path])
+    day, value = raw.columns[:2]
+    return raw.select(stored_day(F.col(f"`{day}`")).alias("date"), number(F.col(f"`{value}`")).alias("ratio"))
+
+
+def read_rejects_csv(spark: SparkSession, path: str, source: str, interval: str | None = None) -> DataFrame:
+    """Any of the three shapes of reject lists, ``Symbol, Date`` or ``ticker, error[, timeframe]``."""
+    (raw,) = read_csv_files(spark, [path])
+    text = _text_columns(raw)
+    return raw.select(
+        blank_to_null(text("Symbol", "ticker")).alias("symbol"),
+        F.lit(source).alias("source"),
+        F.coalesce(text("timeframe"), F.lit(interval)).alias("interval"),
+        text("error").alias("reason"),
+        stored_day(text("Date")).alias("first_seen"),
+    )

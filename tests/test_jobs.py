@@ -146,6 +146,25 @@ def test_history_folder_with_mixed_suffixes(spark, tmp_path):
     ]
 
 
+def test_dated_folder_ratio_and_reject_files(spark, tmp_path):
+    put(tmp_path / "d" / "prices_1d_2024-01-02.csv", "Date,Symbol,Open,High,Low,Close,Adj Close,Volume", "2024-01-02,A,1,2,0.5,1.5,1.4,10.0", "2024-01-02,NA,1,1,1,,,")
+    put(tmp_path / "d" / "prices_1d_2024-01-03.csv", "Date,Symbol,Close,Volume", "2024-01-03,A,2.5,7")
+    got = history_source.read_dated_folder(spark, str(tmp_path / "d"))
+    assert rows(got.select("date", "symbol", "close", "adj_close", "volume")) == [
+        (date(2024, 1, 2), "A", 1.5, 1.4, 10), (date(2024, 1, 2), "NA", None, None, None), (date(2024, 1, 3), "A", 2.5, None, 7),
+    ]
+    ratio = history_source.read_ratio_csv(spark, put(tmp_path / "r.csv", "Date,EPC_Ratio", "2024-01-02,0.62", "2024-01-03,"))
+    assert rows(ratio) == [(date(2024, 1, 2), 0.62), (date(2024, 1, 3), None)]
+    one = history_source.read_rejects_csv(spark, put(tmp_path / "b.csv", "Symbol,Date", "A,2024-01-02"), "batch", "1d")
+    two = history_source.read_rejects_csv(spark, put(tmp_path / "t.csv", "ticker,error,timeframe", "B,bad,weekly"), "bulk")
+    assert rows(one.unionByName(two)) == [("A", "batch", "1d", None, date(2024, 1, 2)), ("B", "bulk", "weekly", "bad", None)]
+
+
+def test_writes_are_rebalanced(spark):
+    df = spark.range(5).select(F.lit("1d").alias("interval"), F.lit(None).cast("date").alias("date"))
+    assert "RebalancePartitions" in tables._spread(df, ["interval", "date"])._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_replacing_dates_keeps_the_others(spark, tmp_path):
     store = str(tmp_path / "bars")
 
