@@ -31,9 +31,17 @@ def clean_web_symbol(c: Column) -> Column:
 
 
 def index_names(c: Column) -> Column:
-    """``"S&P 500, NASDAQ 100,"`` to an array of distinct non-empty names."""
-    parts = F.transform(F.split(c, ","), strip)
-    return F.array_distinct(F.filter(parts, lambda x: x != ""))
+    """``"S&P 500, NASDAQ 100,"`` to an array of distinct non-empty names.
+
+    Blanks around commas go in one replacement: higher-order functions are interpreted, these are not.
+    """
+    parts = F.split(F.regexp_replace(strip(c), r"\s*,\s*", ","), ",")
+    return F.array_distinct(F.array_remove(parts, ""))
+
+
+def index_keys_of(names: Column) -> Column:
+    """F5 for a whole array of names; a name never holds a comma, so one text serves for all of them."""
+    return F.array_distinct(F.array_remove(F.split(index_key(F.array_join(names, ",")), ","), ""))
 
 
 def index_key(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\f\v"
-JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
+JAVA_SUFFIXES = ["d", "D", "f", "F"]
 
 # Spellings that count as a missing value in number columns.
 MISSING_TEXT = [
@@ -38,7 +38,9 @@ def number(c: Column) -> Column:
     The missing-value spellings do not parse, or parse to NaN, so they need no test of their own. A
     number with a Java type letter at its end (``1.5d``) would parse and is refused.
     """
-    return nan_to_null(F.when(~c.rlike(JAVA_SUFFIX), c).try_cast("double"))
+    t = strip(c)
+    plain = ~F.right(t, F.lit(1)).isin(JAVA_SUFFIXES) | (F.lower(F.right(t, F.lit(3))) == "inf")
+    return nan_to_null(F.when(plain, c).try_cast("double"))
 
 
 def nan_to_null(c: Column) -> Column:
@@ -53,7 +55,7 @@ def missing(c: Column) -> Column:
 
 def parses_or_missing(c: Column) -> Column:
     """True when the text is missing or a number."""
-    return c.isNull() | strip(c).isin(MISSING_TEXT) | number(c).isNotNull()
+    return c.isNull() | number(c).isNotNull() | strip(c).isin(MISSING_TEXT)
 
 
 def whole(c: Column) -> Column:

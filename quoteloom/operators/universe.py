@@ -12,7 +12,7 @@ from quoteloom.functions.symbols import (
     clean_batch_symbol,
     clean_symbol,
     clean_web_symbol,
-    index_key,
+    index_keys_of,
     index_names,
 )
 from quoteloom.operators.dedup import keep_first
@@ -82,12 +82,12 @@ def build_universe(raw: DataFrame, order="pos") -> DataFrame:
 
 
 def index_keys() -> Column:
-    return F.array_distinct(F.transform("indexes", index_key))
+    return index_keys_of(F.col("indexes"))
 
 
 def membership(universe: DataFrame) -> DataFrame:
     """M5: one row per (symbol, index key)."""
-    return universe.select("symbol", F.explode(index_keys()).alias("index_key")).filter("index_key <> ''")
+    return universe.select("symbol", F.explode(index_keys()).alias("index_key"))
 
 
 def members_per_index(members: DataFrame) -> DataFrame:
@@ -167,14 +167,14 @@ def by_every_choice(universe: DataFrame) -> DataFrame:
 
     Each row is matched in place against the fixed choice table: no join and no shuffle.
     """
-    keys = index_keys()
     wanted = F.array(
         *[
-            F.when(F.arrays_overlap(keys, F.array(*[F.lit(f) for f in flags])) if flags else F.lit(True), choice)
+            F.when(F.arrays_overlap("_keys", F.array(*[F.lit(f) for f in flags])) if flags else F.lit(True), choice)
             for choice, flags in FLAG_NAMES.items()
         ]
     )
-    return universe.select(F.explode(F.array_compact(wanted)).alias("choice"), *[f"`{c}`" for c in universe.columns])
+    with_keys = universe.withColumn("_keys", index_keys())
+    return with_keys.select(F.explode(F.array_compact(wanted)).alias("choice"), *[f"`{c}`" for c in universe.columns])
 
 
 def flag_filter(flagged: DataFrame, flags: list[str]) -> DataFrame:

@@ -136,7 +136,7 @@ def _snapshot(spark, sf) -> DataFrame:
         text["high"].alias("High 1 day"), text["low"].alias("Low 1 day"), text["open"].alias("Open 1 day"),
         text["price"].alias("Price"), text["volume"].alias("Volume 1 day"),
         F.lit("2025-10-01").cast("date").alias("date"),
-        F.lit("snapshot_2025-10-01.csv").alias("file_name"),
+        F.lit(0).alias("file_no"),
         F.col("p_partkey").cast("decimal(38,0)").alias("row_order"),
     )
 
@@ -187,7 +187,7 @@ def bulk_backfill(spark, sf):
     rows = i.table(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("symbol"), i.day("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("close"), F.col("l_quantity").cast("bigint").alias("volume"),
-        F.col("l_returnflag").alias("file_name"),
+        F.ascii("l_returnflag").alias("file_no"),
         i.order_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("row_order"),
     )
     return last_written(rows).withColumn("symbol", F.col("symbol").cast("string"))

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.functions.dates import file_date
+from quoteloom.functions.dates import FILE_DATE, file_date
 from quoteloom.functions.symbols import clean_symbol
 from quoteloom.functions.text import number, parses_or_missing, whole
 from quoteloom.operators.dedup import keep_last
 from quoteloom.schemas import BULK_COLUMNS, empty
 from quoteloom.sources.files import list_files, read_csv_files, union_by_name
 
-BULK_ROWS = "date date, symbol string, open double, high double, low double, close double, volume bigint, file_name string, row_order decimal(38,0)"
+# Above any row position inside one file; leaves room for 99,999 files of one date.
+FILE_STEP = "1000000000000000000000000000000000"
+
+BULK_ROWS = "date date, symbol string, open double, high double, low double, close double, volume bigint, file_no int, row_order decimal(38,0)"
 
 
 def dated_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,7 +57,7 @@ def bulk_rows(raw: DataFrame) -> DataFrame:
         & parses_or_missing(text["high"])
         & parses_or_missing(text["low"])
     )
-    keep = [c for c in ("file_name", "row_order") if c in raw.columns]
+    keep = [c for c in ("file_no", "row_order") if c in raw.columns]
     return raw.filter(valid).select(
         "date",
         clean_symbol(text["symbol"]).alias("symbol"),
@@ -64,15 +68,39 @@ def bulk_rows(raw: DataFrame) -> DataFrame:
 
 
 def read_bulk(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Valid rows of several files; a file without the needed columns gives none."""
+    """Valid rows of several files; a file without the needed columns gives none.
+
+    ``file_no`` ranks the files by name among those of the same date.
+    """
+    if not paths:
+        return empty(spark, BULK_ROWS)
+    numbers = spark.createDataFrame(_file_numbers(paths), "file_name string, file_no int")
     frames = [
-        bulk_rows(df.withColumn("date", file_date(F.col("file_name"))))
-        for df in (read_csv_files(spark, paths) if paths else [])
+        bulk_rows(df.withColumn("date", file_date(F.col("file_name"))).join(numbers, "file_name"))
+        for df in read_csv_files(spark, paths)
         if has_bulk_columns(df)
     ]
     return union_by_name(frames) if frames else empty(spark, BULK_ROWS)
 
 
+def _file_numbers(paths: list[str]) -> list[tuple[str, int]]:
+    """(name, rank among the names with the same date text)."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in sorted({p.rsplit("/", 1)[-1] for p in paths}):
+        found = re.search(FILE_DATE, name)
+        day = found.group(1) if found else ""
+        seen[day] = seen.get(day, -1) + 1
+        out.append((name, seen[day]))
+    return out
+
+
 def last_written(rows: DataFrame) -> DataFrame:
-    """One row per (symbol, date): the last row of the file that sorts last by name."""
-    return keep_last(rows, ["symbol", "date"], ["file_name", "row_order"]).drop("file_name", "row_order")
+    """One row per (symbol, date): the last row of the file that sorts last by name.
+
+    File number and row position make one fixed-width key, so this is a hash aggregate.
+    """
+    step = F.lit(FILE_STEP).cast("decimal(38,0)")
+    order = F.col("file_no").cast("decimal(5,0)") * step + F.col("row_order")
+    ordered = rows.withColumn("row_order", order.cast("decimal(38,0)")).drop("file_no")
+    return keep_last(ordered, ["symbol", "date"], "row_order").drop("row_order")
