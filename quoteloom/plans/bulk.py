@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.operators.coverage import status_counts
+from quoteloom.operators.coverage import not_delivered, status_counts
 from quoteloom.operators.merge import insert_only
 from quoteloom.operators.universe import restrict
 from quoteloom.session import stage
-from quoteloom.sinks.tables import append_bars, as_bars
+from quoteloom.sinks.tables import append_bars, as_bars, replace_rejects
 from quoteloom.sources.bulk import dated_files, last_written, latest_files, read_bulk
 from quoteloom.sources.history import read_bars
 
@@ -32,11 +32,13 @@ def run_bulk(
     symbols: DataFrame | None,
     bars_path: str,
     interval: str = "1d",
+    rejects_path: str | None = None,
 ) -> DataFrame:
     """Merge the given files; returns the counts of added and already stored bars.
 
-    The dates are known from the file names, so the stored table is read for those partitions only.
-    A late file is merged like any other (T2).
+    The dates are known from the files, so the stored table is read for those partitions only. A late
+    file is merged like any other (T2). With ``rejects_path`` the requested symbols that the files have
+    no valid row for replace the bulk reject list of the interval (K8).
     """
     delivered = stage(delivered_bars(read_bulk(spark, paths), symbols), "delivered")
     dates = [r[0] for r in delivered.select("date").distinct().collect()]
@@ -48,13 +50,23 @@ def run_bulk(
         status_counts(flagged, F.when(F.col("_known").isNull(), "added").otherwise("already stored")), "counts"
     )
     append_bars(as_bars(added, interval, "bulk"), bars_path)
+    if rejects_path is not None and symbols is not None:
+        replace_rejects(
+            not_delivered(symbols.select("symbol"), delivered).select(
+                "symbol", F.lit("bulk").alias("source"), F.lit(interval).alias("interval"),
+                F.lit("no valid row").alias("reason"), F.lit(max(dates, default=None)).cast("date").alias("first_seen"),
+            ),
+            rejects_path,
+        )
     return counts
 
 
-def run_latest_bulk(spark: SparkSession, folder: str, symbols, bars_path: str, interval: str = "1d") -> DataFrame | None:
+def run_latest_bulk(
+    spark: SparkSession, folder: str, symbols, bars_path: str, interval: str = "1d", rejects_path: str | None = None
+) -> DataFrame | None:
     """Q3: all files of the newest date in the folder; None when there is none."""
     _, paths = latest_files(spark, folder)
-    return run_bulk(spark, paths, symbols, bars_path, interval) if paths else None
+    return run_bulk(spark, paths, symbols, bars_path, interval, rejects_path) if paths else None
 
 
 def run_backfill(spark: SparkSession, folder: str, symbols, bars_path: str, interval: str = "1d") -> DataFrame | None:

@@ -12,7 +12,7 @@ from quoteloom.operators.coverage import latest_dates, not_delivered
 from quoteloom.operators.dedup import keep_last
 from quoteloom.operators.info import with_attributes
 from quoteloom.operators.merge import upsert_new_wins
-from quoteloom.sinks.tables import as_bars, replace_dates_staged, replace_rejects, replace_table
+from quoteloom.sinks.tables import as_bars, replace_dates, replace_rejects, replace_table
 from quoteloom.session import stage
 from quoteloom.sources.history import read_bars
 
@@ -69,7 +69,7 @@ def run_history(
         last.select("symbol").unionByName(new.select("symbol")).join(symbols.select("symbol"), "symbol", "left_semi").distinct(),
         "good",
     )
-    replace_dates_staged(merged, bars_path)
+    replace_dates(merged, bars_path)
     replace_table(good, clean_path)
     bad = not_delivered(symbols.select("symbol"), good)
     reason = F.lit("no data")

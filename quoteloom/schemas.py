@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 
 
-
 def ddl(text: str) -> str:
     return " ".join(text.split())
 
@@ -13,8 +12,6 @@ BARS = ddl(
     """interval string, date date, symbol string, open double, high double, low double,
     close double, adj_close double, volume bigint, source string"""
 )
-SYMBOL_LIST = "symbol string, pos decimal(38,0)"
-MEMBERSHIP = "symbol string, index_key string"
 REJECTS = "symbol string, source string, interval string, reason string, first_seen date"
 RATIO_SERIES = "date date, ratio double"
 STATEMENTS = ddl(
@@ -22,32 +19,6 @@ STATEMENTS = ddl(
 )
 PAGES = "url string, html string"
 
-OHLCV = ["open", "high", "low", "close", "volume"]
-
-# The 20 headers of a landed universe file, in file order, and their names here.
-UNIVERSE_COLUMNS = [
-    ("Symbol", "symbol"),
-    ("Description", "description"),
-    ("Market capitalization", "market_cap"),
-    ("Market capitalization - Currency", "market_cap_currency"),
-    ("Sector", "sector"),
-    ("Industry", "industry"),
-    ("Exchange", "exchange"),
-    ("Analyst Rating", "analyst rating"),
-    ("Upcoming earnings date", "upcoming earnings date"),
-    ("Recent earnings date", "recent earnings date"),
-    ("Index", "index"),
-    ("High 1 day", "high 1 day"),
-    ("High 1 day - Currency", "high 1 day - currency"),
-    ("Low 1 day", "low 1 day"),
-    ("Low 1 day - Currency", "low 1 day - currency"),
-    ("Open 1 day", "open 1 day"),
-    ("Open 1 day - Currency", "open 1 day - currency"),
-    ("Price", "price"),
-    ("Price - Currency", "price - currency"),
-    ("Volume 1 day", "volume 1 day"),
-]
-
 # Headers a bulk snapshot must have, and the bar columns they become.
 BULK_COLUMNS = [
     ("Symbol", "symbol"),

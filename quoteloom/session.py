@@ -35,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is only ever used in local mode (tests), where it is set once per session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     known = _LOCAL_DIRS.get(spark.sparkContext.applicationId)

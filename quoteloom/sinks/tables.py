@@ -155,4 +155,5 @@ def write_history_buckets(bars: DataFrame, table: str, path: str, buckets: int)
 def export_csv(df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
     """CSV with a header line for programs that read text, such as one folder per interval and date."""
     spread = _spread(df, partitions) if partitions else df
-    spread.write.mode("overwrite").option("header", True).partitionBy(*(partitions or [])).csv(path)
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "static").option("header", True)
+    writer.partitionBy(*(partitions or [])).csv(path)

@@ -105,8 +105,12 @@ def test_large_files_are_grouped_by_header_too(spark, tmp_path, monkeypatch):
 def test_bulk_merge_and_backfill(spark, tmp_path):
     folder, store = bulk_folder(tmp_path / "in"), str(tmp_path / "bars")
     asked = symbols(spark, "AAPL", "SPY", "BRK-A", "OLD")
-    counts = bulk.run_latest_bulk(spark, folder, asked, store)
+    rejects = str(tmp_path / "rejects")
+    counts = bulk.run_latest_bulk(spark, folder, asked, store, rejects_path=rejects)
     assert rows(counts) == [("added", 3)]
+    assert rows(files.read_table(spark, rejects, REJECTS).select("symbol", "source", "interval", "reason", "first_seen")) == [
+        ("OLD", "bulk", "1d", "no valid row", date(2025, 10, 1)),
+    ]
     again = bulk.run_latest_bulk(spark, folder, asked, store)
     assert rows(again) == [("already stored", 3)]
     assert rows(bulk.run_backfill(spark, folder, asked, store)) == [("added", 2), ("already stored", 3)]
