@@ -14,8 +14,11 @@ from quoteloom.operators.info import with_attributes
 from quoteloom.operators.merge import upsert_new_wins
 from quoteloom.sinks.tables import as_bars, replace_dates, replace_rejects, replace_table
 from quoteloom.session import stage
+from quoteloom.sources.files import exists, read_table
 from quoteloom.sources.history import read_bars
 
+LAST_DATES = "symbol string, last_date date"
+
 
 def request_starts(symbols: DataFrame, last: DataFrame, interval: str, start: str | None = None) -> DataFrame:
     """First date wanted per symbol, from the newest stored dates (A3).
@@ -30,6 +33,14 @@ def request_starts(symbols: DataFrame, last: DataFrame, interval: str, start: st
     )
 
 
+def known_dates(spark: SparkSession, stored: DataFrame, interval: str, state_path: str | None) -> DataFrame:
+    """A3: newest stored date per symbol, from the kept state if there is one."""
+    path = f"{state_path}/interval={interval}"
+    if state_path is not None and exists(spark, path):
+        return read_table(spark, path, LAST_DATES)
+    return latest_dates(stored)
+
+
 def wanted(landed: DataFrame, starts: DataFrame, end: date | str | None = None) -> DataFrame:
     """Landed bars of requested symbols from their own start on."""
     rows = landed.join(starts, "symbol").filter(F.col("date") >= F.col("start"))
@@ -50,15 +61,18 @@ def run_history(
     order="pos",
     end: date | str | None = None,
     errors: DataFrame | None = None,
+    state_path: str | None = None,
 ) -> DataFrame:
     """Merge landed bars into the stored ones; returns the written rows.
 
-    The stored table is read twice: its symbol column once, for the newest date of each symbol, and
-    then in full only the dates that are delivered, which are the ones replaced. A symbol counts as
-    good when it has stored or new bars (``errors`` lists the others with their reason).
+    Only the dates that are delivered are read back in full, and they are the ones replaced. The newest
+    date of each symbol comes from ``state_path``, which each run extends; without it, or the first
+    time, from one pass over the symbol column of the whole table. A state that lags behind after a
+    failed run only asks for bars again that then win over themselves. A symbol counts as good when it
+    has stored or new bars (``errors`` lists the others with their reason).
     """
     stored = read_bars(spark, bars_path, interval)
-    last = stage(latest_dates(stored), "last")
+    last = stage(known_dates(spark, stored, interval, state_path), "last")
     starts = request_starts(symbols, last, interval)
     new = keep_last(wanted(landed, starts, end), ["symbol", "date"], order)
     new = stage(as_bars(new.drop("pos"), interval, "history"), "new")
@@ -71,6 +85,9 @@ def run_history(
     )
     replace_dates(merged, bars_path)
     replace_table(good, clean_path)
+    if state_path is not None:
+        newest = last.unionByName(latest_dates(new)).groupBy("symbol").agg(F.max("last_date").alias("last_date"))
+        replace_table(newest, f"{state_path}/interval={interval}")
     bad = not_delivered(symbols.select("symbol"), good)
     reason = F.lit("no data")
     if errors is not None:

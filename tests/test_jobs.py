@@ -253,6 +253,25 @@ def test_weekly_history_rereads_its_last_label(spark, tmp_path):
     assert rows(history_source.read_bars(spark, store, "1wk").select("date", "close")) == [(date(2024, 1, 1), 1.5), (date(2024, 1, 8), 2.0)]
 
 
+def test_history_state_follows_the_table(spark, tmp_path):
+    store, rejects, clean, state = (str(tmp_path / n) for n in ("bars", "rejects", "clean", "state"))
+    args = (store, "1d", rejects, clean, date(2024, 1, 9))
+    steps = [
+        [("A", "2024-01-01", 1.0), ("B", "2024-01-05", 1.0)],
+        [("A", "2024-01-01", 9.0), ("A", "2024-01-03", 3.0), ("B", "2024-01-04", 9.0)],
+        [("C", "2024-01-02", 5.0)],
+    ]
+    for step in steps:
+        history.run_history(spark, symbols(spark, "A", "B", "C"), landed(spark, *step), *args, state_path=state)
+        stored = history_source.read_bars(spark, store, "1d")
+        kept = files.read_table(spark, f"{state}/interval=1d", history.LAST_DATES)
+        assert rows(kept) == rows(history.latest_dates(stored))
+    assert rows(stored.select("symbol", "date", "close")) == [
+        ("A", date(2024, 1, 1), 1.0), ("A", date(2024, 1, 3), 3.0), ("B", date(2024, 1, 5), 1.0), ("C", date(2024, 1, 2), 5.0),
+    ]
+    assert rows(spark.read.parquet(clean)) == [("A",), ("B",), ("C",)]
+
+
 UNIVERSE = [
     "Symbol,Description,Market capitalization,Sector,Index",
     'AAPL,Apple,3000,Tech,"S&P 500, NASDAQ 100"', 'BRK.A,Berkshire,900,Fin,"S&P 500,"', "SMALL,Small,1,Tech,Russell 2000", "X/PR,Pref,1,Fin,S&P 500",
