@@ -5,29 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quoteloom.functions.text import blank_to_null, strip
+from quoteloom.functions.text import strip
 
 
-def _class_shares(t: Column) -> Column:
-    return F.translate(t, ".", "-")
+# A name with something in it and no slash; the same without a backslash; the text nan.
+NAME = r"^[^/]*[^/\s][^/]*$"
+WEB_NAME = r"^[^/\\]*[^/\\\s][^/\\]*$"
+NAN_TEXT = r"(?i)^\s*nan\s*$"
+
+
+def _class_shares(c: Column) -> Column:
+    return F.translate(strip(c), ".", "-")
 
 
 def clean_symbol(c: Column) -> Column:
     """P1a, P1d: trim, class-share dots to dashes; NULL for names with a slash and for blanks."""
-    t = blank_to_null(c)
-    return F.when(~F.contains(t, F.lit("/")), _class_shares(t))
+    return F.when(c.rlike(NAME), _class_shares(c))
 
 
 def clean_batch_symbol(c: Column) -> Column:
     """As :func:`clean_symbol`, and the text ``nan`` in any case is no symbol."""
-    t = blank_to_null(c.cast("string"))
-    return F.when(F.lower(t) != "nan", clean_symbol(t))
+    return F.when(c.rlike(NAME) & ~c.rlike(NAN_TEXT), _class_shares(c))
 
 
 def clean_web_symbol(c: Column) -> Column:
     """As :func:`clean_symbol`, and names with a backslash are left out too."""
-    t = blank_to_null(c)
-    return F.when(~F.contains(t, F.lit("\\")), clean_symbol(t))
+    return F.when(c.rlike(WEB_NAME), _class_shares(c))
 
 
 def index_names(c: Column) -> Column:

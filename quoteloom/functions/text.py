@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\f\v"
-JAVA_SUFFIXES = ["d", "D", "f", "F"]
 
 # Spellings that count as a missing value in number columns.
 MISSING_TEXT = [
@@ -14,6 +15,10 @@ MISSING_TEXT = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+_VALUE = r"[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|[iI]nf(?:inity)?|INF(?:INITY)?)"
+NUMBER = rf"^\s*{_VALUE}\s*$"
+NUMBER_OR_MISSING = rf"^\s*(?:{_VALUE}|{'|'.join(re.escape(m) for m in MISSING_TEXT)})\s*$"
+
 # Spellings that count as true; everything else is false.
 TRUE_TEXT = ["true", "1", "yes", "on"]
 
@@ -35,12 +40,10 @@ def present(c: Column) -> Column:
 def number(c: Column) -> Column:
     """Text to double; text that is no number gives NULL instead of failing.
 
-    The missing-value spellings do not parse, or parse to NaN, so they need no test of their own. A
-    number with a Java type letter at its end (``1.5d``) would parse and is refused.
+    One pattern keeps the generated code short: a method the JVM deems too long is never compiled. It
+    also refuses what only Java reads as a number, such as ``1.5d``.
     """
-    t = strip(c)
-    plain = ~F.right(t, F.lit(1)).isin(JAVA_SUFFIXES) | (F.lower(F.right(t, F.lit(3))) == "inf")
-    return nan_to_null(F.when(plain, c).try_cast("double"))
+    return F.when(c.rlike(NUMBER), c).try_cast("double")
 
 
 def nan_to_null(c: Column) -> Column:
@@ -55,7 +58,7 @@ def missing(c: Column) -> Column:
 
 def parses_or_missing(c: Column) -> Column:
     """True when the text is missing or a number."""
-    return c.isNull() | number(c).isNotNull() | strip(c).isin(MISSING_TEXT)
+    return F.coalesce(c.rlike(NUMBER_OR_MISSING), F.lit(True))
 
 
 def whole(c: Column) -> Column:
