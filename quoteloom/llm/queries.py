@@ -62,3 +62,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     kept = dedup_lines(docs, counts=("n_lines", "n_dropped"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@named("op7_simhash_groups")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.simhash import simhash_groups
+
+    groups = simhash_groups(documents(spark, sf_dir))
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+@named("op9_suffix_repetition")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.repetition import repetition_verdicts
+
+    return repetition_verdicts(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
