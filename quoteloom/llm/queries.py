@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.llm.common import documents
+from quoteloom.llm.common import documents, fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quoteloom.llm.repetition import repetition_verdicts
 
     return repetition_verdicts(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+@named("op2_language_mixtures")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.language import identify_languages
+
+    docs = documents(spark, sf_dir)
+    found = identify_languages(docs.select("doc_id", "text"), docs.where(fold() != 0).select("doc_id", "text", "lang"))
+    held_out = F.coalesce(fold("id") == 0, F.lit(False))
+    return found.select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "langs", "shares"
+    )
