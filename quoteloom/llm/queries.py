@@ -93,3 +93,19 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "langs", "shares"
     )
+
+
+@named("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.toxicity import learn_lexicon, score_toxicity
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold() != 0).select("doc_id", "toxic")
+    found = score_toxicity(docs, learn_lexicon(docs, labels))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(fold("id") == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "spans",
+    )
