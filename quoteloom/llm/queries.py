@@ -109,3 +109,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "spans",
     )
+
+
+@named("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.decontam import contained_items
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.withColumnRenamed("id", "doc_id")
