@@ -118,3 +118,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@named("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.urls import Rule, judge_urls
+
+    rules = [
+        Rule("allow", "org"),
+        Rule("block", "example.org", "/es/"),
+        Rule("block", "example.org", "/en/1"),
+        Rule("allow", "com", "/fr/"),
+        Rule("block", "com", "/de/"),
+    ]
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return judge_urls(pages, rules).withColumnRenamed("id", "page_id")
