@@ -133,3 +133,54 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return judge_urls(pages, rules).withColumnRenamed("id", "page_id")
+
+
+CHAT_SQL = r"""
+WITH rows AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, length(text)
+        + 2 * (length(text) - length(replace(text, '%', '')))
+        + 2 * (length(text) - length(replace(text, '<s>', '12')))
+        + 2 * (length(text) - length(replace(text, '</s>', '123')))
+        + 2 * (length(text) - length(replace(text, '[INST]', '12345')))
+        + 2 * (length(text) - length(replace(text, '[/INST]', '123456')))
+        + 2 * (length(text) - length(replace(text, '<<SYS>>', '123456')))
+        + 2 * (length(text) - length(replace(text, '<</SYS>>', '1234567')))
+        + 2 * (length(text) - length(replace(text, '<|', '1'))) AS written
+    FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + written + 11)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@named("op3_reply_trees", CHAT_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.replies import chains, format_conversations, loss_text, read_back
+
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(control).alias("text"),
+    )
+    found = format_conversations(chains(rows.unionByName(added)))
+    turns = F.transform(read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = loss_text(F.col("formatted"), F.col("loss_spans"))
+    return found.select(
+        F.col("tree").alias("conv_id"),
+        "n_turns",
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
