@@ -114,85 +114,67 @@ class Templates:
     """Templates by (window size, shingle size), with the bands that find them."""
 
     def __init__(self, notices: dict[str, list[str]], recall: float):
-        groups: dict[tuple[int, int], list[tuple[str, int, set]]] = {}
+        self.members: list[tuple[str, int, set, int, int]] = []  # name, number, shingles, shingle size, window
         lengths: dict[tuple[int, int], int] = {}
         for name, texts in sorted(notices.items()):
             for number, text in enumerate(texts):
                 words = words_of(text)
                 if words:
-                    size = min(SHINGLE, len(words))
-                    key = (window_size(len(words)), size)
-                    groups.setdefault(key, []).append((name, number, shingles_of(words, size)))
-                    lengths[key] = min(lengths.get(key, len(words)), len(words))
-        self.groups = []
-        for (window, size), members in sorted(groups.items()):
-            similar = (lengths[window, size] - size + 1) / (window - size + 1)
-            bands = max(1, math.ceil(math.log(1 - recall) / math.log(1 - similar))) if similar < 1 else 1
-            seeds = mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
-            tables = []  # per band: sorted minima, and the templates that have them
-            minima = [[mixed(_hashes(s) * seed).min() for _, _, s in members] for seed in seeds]
-            for row in minima:
-                values = np.unique(np.array(row, dtype=np.uint64))
-                tables.append((values, [[k for k, x in enumerate(row) if x == v] for v in values]))
-            self.groups.append((window, size, members, seeds, tables))
-
-
-def _hashes(shingles: set[tuple[str, ...]]) -> np.ndarray:
-    return np.array([shingle_hashes(list(s), len(s))[0] for s in sorted(shingles)], dtype=np.uint64)
-
-
-def window_minima(values: np.ndarray, starts: np.ndarray, half: int, width: int) -> np.ndarray:
-    """Minimum of ``values`` in windows of ``width`` that begin at ``starts`` (each ``half`` after the one before)."""
-    edges = np.minimum(np.stack([starts, starts + half], axis=1), len(values) - 1).ravel()
-    first = np.minimum.reduceat(values, edges)[::2]
-    rest_ends = np.minimum(starts + width, len(values))
-    second = first.copy()
-    for offset in range(half, width, half):
-        a = starts + offset
-        inside = a < rest_ends
-        pairs = np.stack([a[inside], np.minimum(rest_ends[inside], len(values) - 1)], axis=1).ravel()
-        if len(pairs):
-            second[inside] = np.minimum(second[inside], np.minimum.reduceat(values, pairs)[::2])
-    return second
-
-
-def find_notices(words: list[str], ends: np.ndarray, templates: Templates, containment: float) -> list[tuple]:
-    """(place, name, number, containment) for windows over the words of several texts.
-
-    ``ends`` is, for each word, the end of its text; windows do not look beyond it.
+                    size, window = min(SHINGLE, len(words)), window_size(len(words))
+                    self.members.append((name, number, shingles_of(words, size), size, window))
+                    lengths[size, window] = min(lengths.get((size, window), len(words)), len(words))
+        # By shingle size: hash of a shingle that is its template's minimum in some band, with (template, band).
+        self.minima: dict[int, dict[int, list[tuple[int, np.uint64]]]] = {}
+        for t, (_, _, shingles, size, window) in enumerate(self.members):
+            similar = (lengths[size, window] - size + 1) / (window - size + 1)
+            bands = math.ceil(math.log(1 - recall) / math.log(1 - similar)) if similar < 1 else 1
+            hashes = np.array([shingle_hashes(list(x), size)[0] for x in sorted(shingles)], dtype=np.uint64)
+            for band in band_seeds(bands):
+                lowest = int(hashes[mixed(hashes * band).argmin()])
+                self.minima.setdefault(size, {}).setdefault(lowest, []).append((t, band))
+
+
+def band_seeds(bands: int) -> np.ndarray:
+    """An odd factor for each band; a shingle's hash in the band is the scrambled product."""
+    return mixed(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
+
+
+def find_notices(words: list[str], counts: np.ndarray, templates: Templates, containment: float) -> list[tuple]:
+    """(text, first word of the window, name, number, containment) over the words of several texts.
+
+    ``counts`` gives the words of each text; windows stay inside a text. A window and a template share a band if the
+    template's minimum in it stands in the window and is the window's minimum too. So positions of such minima are
+    looked up first, and minima of windows are taken only around them.
     """
     found = []
-    n = len(words)
-    hashes: dict[int, np.ndarray] = {}
-    for window, size, members, seeds, tables in templates.groups:
-        if n < size:
+    text_ends = np.cumsum(counts)
+    for size, minima in templates.minima.items():
+        values = shingle_hashes(words, size)
+        if not len(values):
             continue
-        if size not in hashes:
-            values = shingle_hashes(words, size)
-            crossing = np.arange(len(values)) + size > ends[: len(values)]
-            values[crossing] = np.uint64(0xFFFFFFFFFFFFFFFF)
-            hashes[size] = values
-        values, half, width = hashes[size], window // 2, window - size + 1
-        starts = np.arange(0, len(values), half)
-        candidates: set[tuple[int, int]] = set()
-        for seed, (keys, holders) in zip(seeds, tables):
-            scrambled = mixed(values * seed)
-            # A window's minimum equals a template's only if that value stands in it, so values are looked up first.
-            places = np.searchsorted(keys, scrambled)
-            hits = np.flatnonzero((places < len(keys)) & (keys[np.minimum(places, len(keys) - 1)] == scrambled))
-            for at in hits.tolist():
-                lowest = int(scrambled[at])
-                last = at // half
-                for k in range(max(0, last - (width - 1) // half - 1), last + 1):
-                    start = int(starts[k])
-                    if start <= at < start + width and int(scrambled[start : start + width].min()) == lowest:
-                        candidates.update((start, t) for t in holders[int(places[at])])
-        for start, t in sorted(candidates):
-            name, number, shingles = members[t]
-            here = words[start : start + window]
-            share = len(shingles & shingles_of(here, size)) / len(shingles)
+        keys = np.array(sorted(minima), dtype=np.uint64)
+        places = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
+        hits = np.flatnonzero(keys[places] == values)
+        of_text = np.searchsorted(text_ends, hits, side="right")
+        candidates: set[tuple[int, int, int]] = set()
+        for at, doc in zip(hits.tolist(), of_text.tolist()):
+            begin, end = int(text_ends[doc] - counts[doc]), int(text_ends[doc]) - size + 1
+            if at >= end:  # the shingle reaches into the next text
+                continue
+            for t, band in minima[int(values[at])]:
+                window = templates.members[t][4]
+                half, width = window // 2, window - size + 1
+                lowest = mixed(values[at : at + 1] * band)[0]
+                for k in range(max(0, (at - begin - width) // half + 1), (at - begin) // half + 1):
+                    start = begin + k * half
+                    if (doc, start, t) not in candidates and mixed(values[start : min(start + width, end)] * band).min() == lowest:
+                        candidates.add((doc, start, t))
+        for doc, start, t in sorted(candidates):
+            name, number, shingles, _, window = templates.members[t]
+            here = shingles_of(words[start : min(start + window, int(text_ends[doc]))], size)
+            share = len(shingles & here) / len(shingles)
             if share >= containment:
-                found.append((start, name, number, share))
+                found.append((doc, start - int(text_ends[doc] - counts[doc]), name, number, share))
     return found
 
 
@@ -219,18 +201,14 @@ def scan_licenses(
             for a, b in chunks(texts):
                 split = [words_of(t) for t in texts[a:b]]
                 counts = np.array([len(s) for s in split])
-                ends = np.cumsum(counts)
                 words = [w for s in split for w in s]
                 best: dict[tuple, tuple] = {}
-                for start, name, number, share in find_notices(words, np.repeat(ends, counts), templates, containment):
-                    # A window may begin in the text before: the notice then lies in the last text that it reaches.
-                    doc = int(np.searchsorted(ends, start, side="right"))
-                    key = (doc, name, number)
-                    share_before, place, n = best.get(key, (0.0, start, 0))
-                    best[key] = (max(share, share_before), min(place, start), n + 1)
+                for doc, place, name, number, share in find_notices(words, counts, templates, containment):
+                    share_before, first, n = best.get((doc, name, number), (0.0, place, 0))
+                    best[doc, name, number] = (max(share, share_before), min(place, first), n + 1)
                 for (doc, name, number), (share, place, n) in sorted(best.items()):
                     at.append(a + doc)
-                    rows.append((name, number, share, int(place - (ends[doc] - counts[doc])), n))
+                    rows.append((name, number, share, place, n))
             columns = [ids.take(pa.array(at, pa.int64()))]
             kinds = (pa.string(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
             columns += [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)]

@@ -184,3 +184,64 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@named("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+# What the stages of corpus_pipeline.py do with the operators: their decisions, on rows of documents.
+
+
+def clean_of_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Without the documents that score 0.5 or more; learned from labelled documents that are not held out."""
+    from quoteloom.llm.toxicity import drop_toxic, learn_lexicon
+
+    known = labels.where(fold() != 0).select("doc_id", "toxic")
+    return drop_toxic(docs, learn_lexicon(docs.select("doc_id", "text"), known))
+
+
+def clean_of_repeated_lines(docs: DataFrame) -> DataFrame:
+    """Lines that repeat stay in the document with the smallest id; ``n_chars`` follows the text."""
+    from quoteloom.llm.linededup import dedup_lines
+
+    kept = dedup_lines(docs)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
+
+
+def clean_of_near_copies(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of each group; documents without a word are one group, those without an id stay."""
+    from quoteloom.llm.common import fresh
+    from quoteloom.llm.simhash import simhash_groups
+    from quoteloom.session import stage
+
+    (name,) = fresh(docs, "copy_id")
+    groups = simhash_groups(docs.where("doc_id IS NOT NULL").select("doc_id", "text"))
+    copies = stage(groups.where("id <> component").select(F.col("id").alias(name)), "copies")
+    return docs.join(copies, F.col("doc_id") == F.col(name), "left_anti")
+
+
+def clean_of_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Without the documents that contain an item of the benchmark."""
+    from quoteloom.llm.common import fresh
+    from quoteloom.llm.decontam import contained_items
+    from quoteloom.session import stage
+
+    (name,) = fresh(docs, "leak_id")
+    found = contained_items(docs.select("doc_id", "text"), benchmark)
+    leaks = stage(found.where("id IS NOT NULL").select(F.col("id").alias(name)).distinct(), "leaks")
+    return docs.join(leaks, F.col("doc_id") == F.col(name), "left_anti")
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """One row per piece of the sequences of 1024 tokens, with its token ids."""
+    import public_tokenizers
+
+    from quoteloom.llm.packing import pack_documents
+
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True)
