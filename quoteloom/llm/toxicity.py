@@ -14,7 +14,7 @@ Scoring looks at the words around a match. A match in quotation marks or behind
 those only the strongest counts, at a reduced weight. Other matches add up as independent evidence, more so beside a
 word of address. The score is the chance that at least one piece of evidence holds.
 
-Learning takes about ``max_labelled`` labelled texts of each class (those whose hashed id falls below a share of the
+Learning takes about ``max_labelled`` toxic and twice as many other labelled texts (those whose hashed id falls below a share of the
 class's count); near copies among them, found by equal minima of shingle hashes, count once. Every text is scored
 whole.
 
@@ -36,6 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quoteloom.session import stage
+
 # A word may hold digits, and symbols between two word characters.
 WORD = re.compile(r"[^\W_]+(?:[*@$!]+[^\W_]+)*")
 STEM_LETTERS = range(3, 11)
@@ -255,7 +257,7 @@ def choose(counts: list[tuple[str, int, int]], base: float, tried: int) -> list[
 
 
 def learn_lexicon(
-    docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, labels: DataFrame, max_labelled: int = 2000, id_col: str = "doc_id", text_col: str = "text"
 ) -> list[Entry]:
     """Lexicon from ``docs`` and ``labels`` (``id_col``, ``toxic`` 0 or 1). Most labels of an id count, 1 in a tie."""
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1))
@@ -264,46 +266,53 @@ def learn_lexicon(
     if len(sizes) < 2:
         return []
     share = F.lit(0)
-    for label, most in ((0, 3 * max_labelled), (1, max_labelled)):
+    for label, most in ((0, 2 * max_labelled), (1, max_labelled)):
         share = F.when(F.col("toxic") == label, min(1 << 30, (most << 30) // sizes[label])).otherwise(share)
-    # About 4 * max_labelled rows whatever the size of the tables.
+    # About 3 * max_labelled rows whatever the size of the tables.
     sample = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) < share)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "toxic", "text")
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(0), batch.column(1)]
-            texts = batch.column(2).to_pylist()
-            columns += [pa.array(m, pa.int64()) for m in zip(*map(_minima, texts))] if texts else [pa.array([], pa.int64())] * 3
-            columns.append(pa.array([_candidates(t) for t in texts], pa.list_(pa.string())))
-            yield pa.RecordBatch.from_arrays(columns, ["id", "toxic", "m1", "m2", "m3", "names"])
+            found = [_minima(t) for t in batch.column(2).to_pylist()]
+            columns = [pa.array(m, pa.int64()) for m in zip(*found)] if found else [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "toxic", "m1", "m2", "m3"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    kept = texts.mapInArrow(describe, f"id {id_type}, toxic int, m1 long, m2 long, m3 long, names array<string>")
+    single = texts.mapInArrow(minima, f"id {id_type}, toxic int, m1 long, m2 long, m3 long")
     for m in ("m1", "m2", "m3"):
-        kept = kept.groupBy(m).agg(F.min_by(F.struct(*[c for c in kept.columns if c != m]), "id").alias("row"))
-        kept = kept.select(m, "row.*")
-    kept = kept.select("toxic", "names").persist()
-    try:
-        n, toxic = kept.agg(F.count("*"), F.sum("toxic")).first()
-        if not toxic or toxic == n:
-            return []
-        counts = kept.select("toxic", F.explode("names").alias("name")).groupBy("name")
-        counts = counts.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).where("n >= 3")
-        counts = counts.persist()
-        tried = counts.count()
-        # A bounded sample has a bounded number of these; nearly all candidates fail already here.
-        found = counts.where(F.expr(f"toxic >= 3 AND toxic >= {LEAST_SHARE} * n")).orderBy("name").collect()
-        counts.unpersist()
-        entries = choose([tuple(r) for r in found], toxic / n, tried)
-        _weigh_misspellings(kept, entries)
-        return entries
-    finally:
-        kept.unpersist()
-
-
-def _weigh_misspellings(kept: DataFrame, entries: list[Entry]) -> None:
+        single = single.groupBy(m).agg(F.min_by(F.struct(*[c for c in single.columns if c != m]), "id").alias("row"))
+        single = single.select(m, "row.*")
+    single = stage(single.select("id", "toxic"), "labelled")
+    n, toxic = single.agg(F.count("*"), F.sum("toxic")).first()
+    if not toxic or toxic == n:
+        return []
+    # Rows that repeat an id are one text.
+    texts = texts.drop("toxic").dropDuplicates(["id"]).join(F.broadcast(single), "id").select("toxic", "text")
+    texts = stage(texts, "labelled-texts")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: tuple[Counter, Counter] = (Counter(), Counter())  # a task's share of the bounded sample
+        for batch in batches:
+            for label, text in zip(*(c.to_pylist() for c in batch.columns)):
+                totals[label].update(_candidates(text))
+        for label, names in enumerate(totals):
+            arrays = [pa.array(list(names), pa.string()), pa.array(list(names.values()), pa.int64())]
+            arrays.append(pa.array([label] * len(names), pa.int32()))
+            yield pa.RecordBatch.from_arrays(arrays, ["name", "n", "toxic"])
+
+    counts = texts.mapInArrow(count, "name string, n long, toxic int").groupBy("name")
+    counts = counts.agg(F.sum(F.expr("n * toxic")).alias("toxic"), F.sum("n").alias("n")).where("n >= 3")
+    counts = stage(counts, "candidates")
+    # A bounded sample has a bounded number of these; nearly all candidates fail already here.
+    found = counts.where(F.expr(f"toxic >= 3 AND toxic >= {LEAST_SHARE} * n")).orderBy("name").collect()
+    entries = choose([tuple(r) for r in found], toxic / n, counts.count())
+    _weigh_misspellings(texts, entries)
+    return entries
+
+
+def _weigh_misspellings(texts: DataFrame, entries: list[Entry]) -> None:
     """Weight of inexact matches by entry, from the labelled texts that hold them."""
     if not any(e.edits for e in entries):
         return
@@ -311,14 +320,14 @@ def _weigh_misspellings(kept: DataFrame, entries: list[Entry]) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, rows = Automaton(entries), []
         for batch in batches:
-            for toxic, names in zip(*(c.to_pylist() for c in batch.columns)):
-                words = [n[1:] for n in names if n[0] == "=" and automaton.is_alive(n[1:4])]
-                found = {e for w in words for e, edits in automaton.match(w) if edits}
+            for toxic, text in zip(*(c.to_pylist() for c in batch.columns)):
+                hits = matches(automaton, text.lower())
+                found = {e for word in hits for e, edits in hits[word] if edits}
                 rows += [(k, toxic) for k in found]
         columns = zip(*rows) if rows else [[], []]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32()) for c in columns], ["entry", "toxic"])
 
-    counts = kept.mapInArrow(run, "entry int, toxic int").groupBy("entry").agg(F.sum("toxic"), F.count("*")).collect()
+    counts = texts.mapInArrow(run, "entry int, toxic int").groupBy("entry").agg(F.sum("toxic"), F.count("*")).collect()
     for k, toxic, n in counts:
         learned = (toxic + 4 * FUZZY_PRIOR) / (n + 4)
         entries[k].fuzzy_weight = min(entries[k].weight, learned) if n < 3 or 2 * toxic >= n else 0.0
