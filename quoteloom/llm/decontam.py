@@ -8,7 +8,7 @@ alignment. The values that its placeholders take in text and item must correspon
 question that got other numbers or names is found, and a chance mixture is not. An item counts as contained when
 consistent alignments cover at least ``min_share`` of its words.
 
-Only words that are some window's anchor leave the scan. The window table is broadcast when it has at most
+Only words that are some window's anchor, beside the right neighbours, leave the scan. The window table is broadcast when it has at most
 ``BROADCAST_WINDOWS`` rows (about 30 MB); a larger one is joined by shuffle. Every further group is bounded by the
 length of an item.
 
@@ -45,7 +45,10 @@ def words_of(text: Column) -> Column:
 
 
 def core(word: Column) -> Column:
-    return F.btrim(word, F.lit(MARKS))
+    """The word without marks around it; taking marks off is slow, so a word with letters at both ends is left alone."""
+    first, last = F.ascii(word), F.ascii(F.substring(word, -1, 1))
+    letter = lambda c: c.between(97, 122) | c.between(65, 90) | c.between(192, 591)
+    return F.when(letter(first) & letter(last), word).otherwise(F.btrim(word, F.lit(MARKS)))
 
 
 def template_word(before: Column, word: Column) -> Column:
@@ -72,7 +75,7 @@ def is_slot(word: Column) -> Column:
 
 
 def template_windows(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
-    """One row per window of an item: anchor, its place in the window, the template and the plain words."""
+    """One row per window of an item: anchor, its place in the window, its plain neighbours, the template, the words."""
     items = benchmark.where(F.length(F.trim(text_col)) > 0).select(F.col(item_col).alias("item_id"), words_of(F.col(text_col)).alias("w"))
     items = items.where("size(w) > 1").select(
         "item_id", _template(F.col("w")).alias("t"), F.transform(F.slice("w", 2, F.size("w")), core).alias("plain")
@@ -91,7 +94,14 @@ def template_windows(benchmark: DataFrame, window: int, item_col: str, text_col:
     ).alias("anchor")
     keys = ["item_id", "n_words", "length", "item_pos", "t", "plain"]
     anchored = places.join(each, "word").groupBy(*keys).agg(best)
-    return anchored.select(*keys, "anchor.place", F.xxhash64("anchor.word").alias("key"))
+    beside = lambda k: F.when(~is_slot(F.get("t", k)), F.get("t", k))
+    return anchored.select(
+        *keys,
+        "anchor.place",
+        F.xxhash64("anchor.word").alias("key"),
+        beside(F.col("anchor.place") - 1).alias("left_word"),
+        beside(F.col("anchor.place") + 1).alias("right_word"),
+    )
 
 
 def contained_items(
@@ -117,6 +127,8 @@ def contained_items(
     placed = placed.select("id", "w", "pos", F.xxhash64(F.lower(core(F.col("word")))).alias("key"))
     start = F.col("pos") - F.col("place")
     found = placed.join(windows, "key").where((start >= 1) & (start + F.col("length") <= F.size("w")))
+    for name, step in (("left_word", -1), ("right_word", 1)):
+        found = found.where(F.col(name).isNull() | (F.col(name) == F.lower(core(F.get("w", F.col("pos") + step)))))
     # The generated column keeps the comparison, which is not compiled, out of the compiled scan and join, so that
     # the words of a text are not copied for each of them.
     here = F.explode(F.array(F.slice("w", start, F.col("length") + 1))).alias("here")
