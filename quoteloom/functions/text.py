@@ -82,6 +82,20 @@ def cents(c: Column) -> Column:
     return F.floor(c * F.lit(100.0) + F.lit(0.5))
 
 
+def exact(c: Column) -> Column:
+    """Price as a decimal with eight places, so that sums do not depend on the order of addition.
+
+    NULL, NaN, infinity and prices of 10**15 and more are missing.
+    """
+    kept = F.when(~F.isnan(c) & (F.abs(c) < F.lit(1e15)), c)
+    return kept.cast("decimal(24,8)")
+
+
+def exact_mean(total: Column, count: Column) -> Column:
+    """Sum through count, NULL for none."""
+    return F.when(count > 0, total.cast("double") / count.cast("double"))
+
+
 def order_key(major: Column, minor: Column) -> Column:
     """One fixed-width sort key for (major, minor), two 64-bit integers.
 

@@ -40,9 +40,13 @@ def gap_dates(known: DataFrame, today: date, lookback: int = LOOKBACK) -> DataFr
 
 
 def new_values(published: DataFrame, known: DataFrame, today: date, lookback: int = LOOKBACK) -> DataFrame:
-    """The newest ``lookback`` published values that fall into the gap."""
+    """The newest ``lookback`` days in the gap that have a published value.
+
+    A day that was landed more than once is one day; of differing values the largest counts.
+    """
     gaps = gap_dates(known, today, lookback)
     found = published.select("date", "ratio").join(gaps, "date", "left_semi")
+    found = found.groupBy("date").agg(F.max("ratio").alias("ratio"))
     return found.orderBy(F.desc("date")).limit(lookback)
 
 

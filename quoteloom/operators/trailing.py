@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from quoteloom.functions.text import cents
+from quoteloom.functions.text import exact, exact_mean
 
 
 def _by_date() -> WindowSpec:
@@ -21,38 +21,33 @@ def _running() -> WindowSpec:
     return _by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _trailing_sum(total: str, n: int) -> Column:
-    """Sum of the last n rows as a difference of running totals: constant work per row for any n."""
+def _trailing(total: str, n: int) -> Column:
+    """Sum or count of the last n rows as a difference of running totals: constant work per row for any n."""
     return F.col(total) - F.coalesce(F.lag(total, n).over(_by_date()), F.lit(0))
 
 
-def moving_averages(bars: DataFrame, spans: tuple[int, ...] = (50, 200), column: str = "close") -> DataFrame:
-    """Average close of the last n bars (fewer at the start), from exact sums of cents."""
+def _averages(bars: DataFrame, value: Column, column: str, spans: dict[str, int]) -> DataFrame:
+    """Mean of the values among the last n bars; bars without a value count for nothing, none at all give NULL."""
     staged = bars.select(
         "symbol", "date", column,
-        F.sum(cents(F.col(column))).over(_running()).alias("_total"),
-        F.row_number().over(_by_date()).alias("_row"),
+        F.coalesce(F.sum(value).over(_running()), F.lit(0)).alias("_total"),
+        F.count(value).over(_running()).alias("_count"),
     )
-    averages = [
-        (
-            _trailing_sum("_total", n).cast("double")
-            / F.least(F.col("_row"), F.lit(n)).cast("double")
-            / F.lit(100.0)
-        ).alias(f"avg_{n}")
-        for n in spans
-    ]
+    averages = [exact_mean(_trailing("_total", n), _trailing("_count", n)).alias(name) for name, n in spans.items()]
     return staged.select("symbol", "date", column, *averages)
 
 
+def moving_averages(bars: DataFrame, spans: tuple[int, ...] = (50, 200), column: str = "close") -> DataFrame:
+    """Average close of the last n bars (fewer at the start), from exact sums.
+
+    NULL, NaN and infinite prices are missing values.
+    """
+    return _averages(bars, exact(F.col(column)), column, {f"avg_{n}": n for n in spans})
+
+
 def average_volume(bars: DataFrame, n: int = 10) -> DataFrame:
-    """Average volume of the last n bars."""
-    staged = bars.select(
-        "symbol", "date", "volume",
-        F.sum("volume").over(_running()).alias("_total"),
-        F.row_number().over(_by_date()).alias("_row"),
-    )
-    average = _trailing_sum("_total", n).cast("double") / F.least(F.col("_row"), F.lit(n)).cast("double")
-    return staged.select("symbol", "date", "volume", average.alias(f"avg_volume_{n}"))
+    """Average volume of the last n bars, of those that have one."""
+    return _averages(bars, F.col("volume"), "volume", {f"avg_volume_{n}": n})
 
 
 def high_low(bars: DataFrame, days: int = 365) -> DataFrame:
@@ -69,26 +64,30 @@ def high_low(bars: DataFrame, days: int = 365) -> DataFrame:
 def trading_snapshot(bars: DataFrame) -> DataFrame:
     """R3-R5 at the newest bar of each symbol, without computing them for every bar.
 
-    The newest date comes from one aggregate; the averages are conditional sums over row ranks.
+    The averages are conditional sums over row ranks; a symbol's days of one year fit in an array.
     """
     newest_first = Window.partitionBy("symbol").orderBy(F.desc("date"))
+    # One bar per day, so the newest 365 rows hold the last 365 days; Spark cuts the rest before the shuffle.
     ranked = bars.select(
-        "symbol", "date", "high", "low", "close", "volume",
-        F.row_number().over(newest_first).alias("_rank"),
-        F.first("date").over(newest_first).alias("_last"),
-    )
+        "symbol", "date", "high", "low", "close", "volume", F.row_number().over(newest_first).alias("_rank")
+    ).filter("_rank <= 365")
     rank = F.col("_rank")
 
     def mean(value: Column, n: int) -> Column:
         kept = F.when(rank <= n, value)
-        return F.sum(kept).cast("double") / F.count(kept).cast("double")
-
-    in_year = F.col("date") > F.date_sub("_last", 365)
-    return ranked.groupBy("symbol").agg(
-        F.max("_last").alias("date"),
-        (mean(cents(F.col("close")), 50) / F.lit(100.0)).alias("fiftyDayAverage"),
-        (mean(cents(F.col("close")), 200) / F.lit(100.0)).alias("twoHundredDayAverage"),
-        F.max(F.when(in_year, F.col("high"))).alias("fiftyTwoWeekHigh"),
-        F.min(F.when(in_year, F.col("low"))).alias("fiftyTwoWeekLow"),
+        return exact_mean(F.sum(kept), F.count(kept))
+
+    newest = ranked.groupBy("symbol").agg(
+        F.max("date").alias("date"),
+        mean(exact(F.col("close")), 50).alias("fiftyDayAverage"),
+        mean(exact(F.col("close")), 200).alias("twoHundredDayAverage"),
         mean(F.col("volume"), 10).alias("averageDailyVolume10Day"),
+        F.collect_list(F.struct("date", "high", "low")).alias("_days"),
+    )
+    year = F.filter("_days", lambda d: d["date"] > F.date_sub("date", 365))
+    return newest.select(
+        "symbol", "date", "fiftyDayAverage", "twoHundredDayAverage",
+        F.array_max(F.transform(year, lambda d: d["high"])).alias("fiftyTwoWeekHigh"),
+        F.array_min(F.transform(year, lambda d: d["low"])).alias("fiftyTwoWeekLow"),
+        "averageDailyVolume10Day",
     )

@@ -26,7 +26,7 @@ RENAMED = {
 
 
 # Above any position inside one list, see ``sources.files.row_order``.
-LIST_STEP = "1000000000000000000000000000000000000"
+LIST_STEP = "1000000000000000000000000"
 
 
 def normal_name(header: str) -> str:
@@ -110,12 +110,12 @@ def preview(df: DataFrame, order: str = "pos", n: int = 5) -> DataFrame:
     return df.orderBy(order).limit(n)
 
 
-def found_index_keys(universe: DataFrame, most: int = 5000) -> list[str]:
-    """Sorted keys that occur. They become column names, so they have to fit on the driver."""
-    keys = [r[0] for r in membership(universe).select("index_key").distinct().limit(most + 1).collect()]
-    if len(keys) > most:
-        raise ValueError(f"more than {most} indexes; use membership() instead of flag columns")
-    return sorted(keys)
+def found_index_keys(universe: DataFrame) -> list[str]:
+    """Sorted keys that occur. They become column names, which the driver has to know as part of any plan.
+
+    :func:`membership` is the form for any number of keys.
+    """
+    return sorted(r[0] for r in membership(universe).select("index_key").distinct().toLocalIterator())
 
 
 def flag_columns(universe: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from quoteloom.operators.bars import batch_bars, select_dates
 from quoteloom.operators.coverage import newly_rejected, written_counts
 from quoteloom.operators.merge import add_rejects
 from quoteloom.operators.universe import clean_batch_symbols, restrict
-from quoteloom.sinks.tables import as_bars, replace_dates, replace_table
+from quoteloom.sinks.tables import as_bars, replace_dates, replace_state
 from quoteloom.session import stage
 from quoteloom.sources.files import read_table
 
@@ -65,5 +65,5 @@ def run_batch(
     for more in seen[1:]:
         delivered = delivered.unionByName(more)
     new = newly_rejected(symbols, delivered, today)
-    replace_table(add_rejects(known, new.select("symbol", F.col("first_seen"))), rejects_path)
+    replace_state(add_rejects(known, new.select("symbol", F.col("first_seen"))), rejects_path)
     return counts

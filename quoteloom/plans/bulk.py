@@ -56,7 +56,7 @@ def run_bulk(
                 "symbol", F.lit("bulk").alias("source"), F.lit(interval).alias("interval"),
                 F.lit("no valid row").alias("reason"), F.lit(max(dates, default=None)).cast("date").alias("first_seen"),
             ),
-            rejects_path,
+            rejects_path, "bulk", interval,
         )
     return counts
 

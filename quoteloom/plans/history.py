@@ -12,7 +12,7 @@ from quoteloom.operators.coverage import latest_dates, not_delivered
 from quoteloom.operators.dedup import keep_last
 from quoteloom.operators.info import with_attributes
 from quoteloom.operators.merge import upsert_new_wins
-from quoteloom.sinks.tables import as_bars, replace_dates, replace_rejects, replace_table
+from quoteloom.sinks.tables import as_bars, replace_dates, replace_rejects, replace_state, replace_table
 from quoteloom.session import stage
 from quoteloom.sources.files import exists, read_table
 from quoteloom.sources.history import read_bars
@@ -71,7 +71,7 @@ def run_history(
     failed run only asks for bars again that then win over themselves. A symbol counts as good when it
     has stored or new bars (``errors`` lists the others with their reason).
     """
-    stored = read_bars(spark, bars_path, interval)
+    stored = read_bars(spark, bars_path, interval).filter(F.col("source") == "history")
     last = stage(known_dates(spark, stored, interval, state_path), "last")
     starts = request_starts(symbols, last, interval)
     new = keep_last(wanted(landed, starts, end), ["symbol", "date"], order)
@@ -87,7 +87,7 @@ def run_history(
     replace_table(good, clean_path)
     if state_path is not None:
         newest = last.unionByName(latest_dates(new)).groupBy("symbol").agg(F.max("last_date").alias("last_date"))
-        replace_table(newest, f"{state_path}/interval={interval}")
+        replace_state(newest, f"{state_path}/interval={interval}")
     bad = not_delivered(symbols.select("symbol"), good)
     reason = F.lit("no data")
     if errors is not None:
@@ -98,7 +98,7 @@ def run_history(
             "symbol", F.lit("history").alias("source"), F.lit(interval).alias("interval"),
             reason.alias("reason"), F.lit(str(today)).cast("date").alias("first_seen"),
         ),
-        rejects_path,
+        rejects_path, "history", interval,
     )
     return merged
 

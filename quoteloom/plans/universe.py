@@ -14,9 +14,11 @@ from quoteloom.operators.pages import INDEX_TABLES, index_members
 from quoteloom.operators.universe import (
     build_universe,
     by_choice,
+    clean_web_symbols,
     flag_columns,
     flag_table,
     membership,
+    restrict,
 )
 from quoteloom.session import stage
 from quoteloom.sinks.tables import (
@@ -54,14 +56,14 @@ def run_choice(spark: SparkSession, choice: int | str, universe: DataFrame | Non
     labels = list(dict.fromkeys(["0", *[str(n) for n in numbers], str(choice)]))
     if universe is not None:
         universe = stage(universe, "universe")
-        flagged = flag_columns(universe.drop("pos"))
+        flagged = stage(flag_columns(universe), "flagged")
     for label in labels:
         if label == "0" and universe is not None:
             write_choice(flagged, label, out)
         elif kind == "flags" and universe is not None:
-            write_choice(by_choice(universe, label).drop("pos"), label, out)
+            write_choice(by_choice(flagged, label), label, out)
         else:
-            write_choice(read_choice(spark, label, folders).orderBy("pos").select("symbol"), label, out, rich=False)
+            write_choice(read_choice(spark, label, folders).orderBy("pos"), label, out, rich=False)
 
 
 def run_lists(
@@ -72,16 +74,31 @@ def run_lists(
     out: str,
     choice: int | str = 1,
     own_lists: dict[str, DataFrame] | None = None,
+    folders: list[str] | None = None,
 ) -> None:
-    """One symbol list per source, and provider-style info of a choice."""
-    groups = {"nasdaq_all": directory_symbols(directory).select("symbol")}
-    groups.update({name: index_members(pages, name).select("symbol") for name in INDEX_TABLES})
-    groups["universe"] = universe.select("symbol")
-    groups.update({name: df.select("symbol") for name, df in (own_lists or {}).items()})
-    rows = [df.withColumn("group", F.lit(name)) for name, df in groups.items()]
+    """One symbol list per source, and provider-style info of a choice.
+
+    A choice of index flags filters the universe by them, one with a list-only number by the symbols of its
+    lists (from ``folders``). The cleaned universe and its info come besides. Every list keeps its order.
+    """
+    groups = {"nasdaq_all": directory_symbols(directory)}
+    groups.update({name: index_members(pages, name) for name in INDEX_TABLES})
+    groups["universe"] = universe
+    groups["universe_clean"] = clean_web_symbols(universe)
+    groups.update(own_lists or {})
+    rows = [_listed(df).withColumn("group", F.lit(name)) for name, df in groups.items()]
     write_lists(reduce(DataFrame.unionByName, rows), f"{out}/lists")
-    chosen = by_choice(universe, choice)
+    if choice_kind(choice) == "flags":
+        chosen = by_choice(universe, choice)
+    else:
+        chosen = restrict(universe, read_choice(universe.sparkSession, choice, folders or []))
     write_info(provider_info(chosen), choice, f"{out}/provider_info")
+    write_info(provider_info(clean_web_symbols(universe)), "clean", f"{out}/provider_info")
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    pos = F.col("pos").cast("decimal(38,0)") if "pos" in df.columns else F.lit(None).cast("decimal(38,0)")
+    return df.select("symbol", pos.alias("pos"))
 
 
 def run_info(universe: DataFrame, symbols: DataFrame, choice: int | str, out: str) -> DataFrame:

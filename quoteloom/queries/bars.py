@@ -174,8 +174,8 @@ for _text, _since in _PERIODS.items():
 def _mean_sql(n: int) -> str:
     frame = f"OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     return (
-        f"CAST(sum(CAST(floor(close * 100.0 + 0.5) AS BIGINT)) {frame} AS DOUBLE)"
-        f" / CAST(count(*) {frame} AS DOUBLE) / 100.0 AS avg_{n}"
+        f"CAST(sum(CAST(close AS DECIMAL(24, 8))) {frame} AS DOUBLE)"
+        f" / nullif(CAST(count(close) {frame} AS DOUBLE), 0) AS avg_{n}"
     )
 
 
@@ -212,17 +212,46 @@ def avg_volume_10(spark, sf):
 
 _SNAPSHOT_SQL = """ranked AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r,
-         max(date) OVER (PARTITION BY symbol) AS last, CAST(floor(close * 100.0 + 0.5) AS BIGINT) AS c
+         max(date) OVER (PARTITION BY symbol) AS last, CAST(close AS DECIMAL(24, 8)) AS c
   FROM {bars}), snapshot AS (
   SELECT symbol, max(last) AS date,
-         CAST(sum(c) FILTER (r <= 50) AS DOUBLE) / CAST(count(*) FILTER (r <= 50) AS DOUBLE) / 100.0 AS "fiftyDayAverage",
-         CAST(sum(c) FILTER (r <= 200) AS DOUBLE) / CAST(count(*) FILTER (r <= 200) AS DOUBLE) / 100.0 AS "twoHundredDayAverage",
+         CAST(sum(c) FILTER (r <= 50) AS DOUBLE) / nullif(CAST(count(c) FILTER (r <= 50) AS DOUBLE), 0) AS "fiftyDayAverage",
+         CAST(sum(c) FILTER (r <= 200) AS DOUBLE) / nullif(CAST(count(c) FILTER (r <= 200) AS DOUBLE), 0) AS "twoHundredDayAverage",
          max(high) FILTER (date > last - 365) AS "fiftyTwoWeekHigh",
          min(low) FILTER (date > last - 365) AS "fiftyTwoWeekLow",
-         CAST(sum(volume) FILTER (r <= 10) AS DOUBLE) / CAST(count(*) FILTER (r <= 10) AS DOUBLE) AS "averageDailyVolume10Day"
+         CAST(sum(volume) FILTER (r <= 10) AS DOUBLE) / nullif(CAST(count(volume) FILTER (r <= 10) AS DOUBLE), 0) AS "averageDailyVolume10Day"
   FROM ranked GROUP BY symbol)"""
 
 
+# Bars without some volumes and closes, and with prices below a cent.
+_GAPS_SQL = """gaps AS (
+  SELECT symbol, date, high, low, CASE WHEN day(date) % 7 <> 3 THEN close / 65536 END AS close,
+         CASE WHEN day(date) % 5 <> 2 THEN volume END AS volume
+  FROM supplier_bars)"""
+
+
+@query(
+    "trailing_with_gaps",
+    "R3 R4 R5",
+    f"""WITH {i.SUPPLIER_BARS_SQL}, {_GAPS_SQL}, {_SNAPSHOT_SQL.format(bars='gaps')}, means AS (
+      SELECT symbol, date, {_mean_sql(50)}, {_mean_sql(200)},
+             CAST(sum(volume) OVER w AS DOUBLE) / nullif(CAST(count(volume) OVER w AS DOUBLE), 0) AS avg_volume_10
+      FROM gaps WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW))
+    SELECT t.*, s."fiftyDayAverage", s."twoHundredDayAverage", s."averageDailyVolume10Day"
+    FROM means t LEFT JOIN snapshot s ON t.symbol = s.symbol AND t.date = s.date""",
+)
+def trailing_with_gaps(spark, sf):
+    bars = i.supplier_bars(spark, sf).select(
+        "symbol", "date", "high", "low",
+        F.when(F.dayofmonth("date") % 7 != 3, F.col("close") / 65536).alias("close"),
+        F.when(F.dayofmonth("date") % 5 != 2, F.col("volume")).alias("volume"),
+    )
+    prices = moving_averages(bars).drop("close")
+    volumes = average_volume(bars).drop("volume")
+    newest = trading_snapshot(bars).drop("fiftyTwoWeekHigh", "fiftyTwoWeekLow")
+    return prices.join(volumes, ["symbol", "date"]).join(newest, ["symbol", "date"], "left")
+
+
 @query(
     "trading_snapshot",
     "R3 R4 R5 S12",

@@ -137,7 +137,7 @@ def _snapshot(spark, sf) -> DataFrame:
         text["price"].alias("Price"), text["volume"].alias("Volume 1 day"),
         F.lit("2025-10-01").cast("date").alias("date"),
         F.lit(0).alias("file_no"),
-        F.col("p_partkey").cast("decimal(38,0)").alias("row_order"),
+        F.col("p_partkey").cast("decimal(24,0)").alias("row_order"),
     )
 
 
@@ -188,7 +188,7 @@ def bulk_backfill(spark, sf):
         F.col("l_partkey").alias("symbol"), i.day("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("close"), F.col("l_quantity").cast("bigint").alias("volume"),
         F.ascii("l_returnflag").alias("file_no"),
-        i.order_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("row_order"),
+        (F.col("l_orderkey") * F.lit(100) + F.col("l_linenumber")).cast("decimal(24,0)").alias("row_order"),
     )
     return last_written(rows).withColumn("symbol", F.col("symbol").cast("string"))
 
@@ -201,21 +201,23 @@ def bulk_backfill(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY ts DESC, seq DESC) = 1""",
 )
 def bulk_stream_merge(spark, sf):
-    """The events table as a file stream, merged batch by batch into a stored table."""
-    schema = i.table(spark, sf, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """The events as a stream of files, merged file by file into a stored table."""
+    path = work_path(spark, "stream")
+    events = i.table(spark, sf, "events")
+    events.repartition(3, "event_id").write.parquet(f"{path}/events")
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/events")
 
-    def to_bars(batch: DataFrame) -> DataFrame:
+    def to_rows(batch: DataFrame) -> DataFrame:
         ticks = batch.select(
             F.col("user_id").cast("string").alias("symbol"), i.day("ts").alias("date"),
             F.col("value").alias("close"),
             F.regexp_extract("props", '"k": ([0-9]+)', 1).cast("bigint").alias("volume"),
-            i.order_key(F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id")).alias("line"),
+            F.lit("").alias("file_name"),
+            i.order_key(F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id")).alias("row_order"),
         )
-        return keep_last(ticks, ["symbol", "date"], "line").drop("line")
+        return keep_last(ticks, ["symbol", "date"], "row_order")
 
-    path = work_path(spark, "stream")
-    stream_bar_rows(rows, to_bars, f"{path}/bars", f"{path}/checkpoint").awaitTermination()
+    stream_bar_rows(rows, to_rows, f"{path}/bars", f"{path}/checkpoint").awaitTermination()
     return read_bars(spark, f"{path}/bars", "1d").select("symbol", "date", "close", "volume")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,5 +62,40 @@ def work_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = work_path(df.sparkSession, name)
+    if (open_stages := _OPEN_STAGES.get()) is not None:
+        open_stages.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever file system its path names."""
+    system, where = _hadoop(spark, path)
+    system.delete(where, True)
+
+
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match; marker files are found too, which readers leave out."""
+    system, where = _hadoop(spark, pattern)
+    return sorted(f.getPath().toString() for f in system.globStatus(where) or [])
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside are deleted at the end, also after a failure; nothing lazy may outlive them."""
+    own: list[str] = []
+    token = _OPEN_STAGES.set(own)
+    try:
+        yield
+    finally:
+        _OPEN_STAGES.reset(token)
+        for path in own:
+            remove(spark, path)
+
+
+_OPEN_STAGES: ContextVar[list[str] | None] = ContextVar("open_stages", default=None)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quoteloom.schemas import BARS, REJECTS
-from quoteloom.session import stage
+from quoteloom.session import remove, stage
+from quoteloom.sources.files import versions
 
-BAR_PARTITIONS = ["interval", "date"]
+# Bars of one source never replace those of another.
+BAR_PARTITIONS = ["interval", "source", "date"]
 
 
 def _spread(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -31,7 +33,7 @@ def as_bars(df: DataFrame, interval: str, source: str) -> DataFrame:
 
 
 def replace_dates(bars: DataFrame, path: str) -> None:
-    """K1, O1: every date in ``bars`` is replaced as a whole, sorted by symbol; other dates stay."""
+    """K1, O1: every date in ``bars`` is replaced as a whole, sorted by symbol; other dates and sources stay."""
     (
         _spread(bars, BAR_PARTITIONS)
         .sortWithinPartitions(*BAR_PARTITIONS, "symbol")
@@ -59,15 +61,6 @@ def append_bars(bars: DataFrame, path: str) -> None:
     )
 
 
-def _replace_group(df: DataFrame, path: str, column: str) -> None:
-    (
-        _spread(df, [column])
-        .write.partitionBy(column)
-        .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
-
-
 def _replace_value(df: DataFrame, path: str, column: str, value: int | str) -> None:
     """One partition value is replaced, also by no rows at all."""
     df.write.mode("overwrite").parquet(f"{path}/{column}={value}")
@@ -78,15 +71,12 @@ def write_choice(universe: DataFrame, choice: int | str, path: str, rich: bool =
 
     Info is the full row, or the symbol only when the choice is made of symbol lists.
     """
-    kept = universe.persist()
-    try:
-        symbols = kept.select("symbol")
-        rows = kept if rich else symbols
-        _replace_value(symbols, f"{path}/symbols", "choice", choice)
-        _replace_value(rows, f"{path}/info", "choice", choice)
-        _replace_value(rows, f"{path}/info_clean", "choice", choice)
-    finally:
-        kept.unpersist()
+    kept = stage(universe, "choice")
+    names = [c for c in ("symbol", "pos") if c in kept.columns]
+    rows = kept if rich else kept.select(*names)
+    _replace_value(kept.select(*names), f"{path}/symbols", "choice", choice)
+    _replace_value(rows, f"{path}/info", "choice", choice)
+    _replace_value(rows, f"{path}/info_clean", "choice", choice)
 
 
 def write_flag_table(flags: DataFrame, path: str) -> None:
@@ -110,29 +100,40 @@ def write_fundamentals(table: DataFrame, summary: DataFrame, path: str) -> None:
     summary.write.mode("overwrite").parquet(f"{path}/summary")
 
 
-def replace_rejects(rejects: DataFrame, path: str) -> None:
-    """K8 for history and bulk: the list of this run replaces that of (source, interval)."""
-    (
-        rejects.select(*[f.split()[0] for f in REJECTS.split(",")])
-        .write.partitionBy("source", "interval")
-        .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+def replace_rejects(rejects: DataFrame, path: str, source: str, interval: str) -> None:
+    """K8 for history and bulk: the list of this run replaces that of (source, interval), also by nothing."""
+    names = [f.split()[0] for f in REJECTS.split(",")]
+    rows = rejects.select(*[n for n in names if n not in ("source", "interval")])
+    rows.write.mode("overwrite").parquet(f"{path}/source={source}/interval={interval}")
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """K8 for batch, K9: a whole table that may be computed from itself."""
+    """K9: a whole derived table, which the next run makes anew from other tables."""
     stage(df, "table").write.mode("overwrite").parquet(path)
 
 
+def replace_state(df: DataFrame, path: str) -> None:
+    """K8 for batch, K10: a whole table that is computed from itself.
+
+    The rows become the next version of the table; ``read_table`` takes the newest complete one. The one before
+    stays until the next run, so a crash at any point leaves a whole table.
+    """
+    spark = df.sparkSession
+    kept = versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/version={max(kept, default=0) + 1}")
+    for old in kept[:-1]:
+        remove(spark, f"{path}/version={old}")
+
+
 def write_series(series: DataFrame, path: str) -> None:
-    """Sorted by date; staged first, as it is computed from itself. AQE makes a short series one file."""
-    stage(series, "series").orderBy("date").write.mode("overwrite").parquet(path)
+    """Sorted by date; a new version, as it is computed from itself. AQE makes a short series one file."""
+    replace_state(series.orderBy("date"), path)
 
 
 def write_lists(lists: DataFrame, path: str) -> None:
-    """Symbol lists, one partition per group."""
-    _replace_group(lists, path, "group")
+    """Symbol lists, one partition per group, in the order of ``pos``; a full replacement."""
+    ordered = _spread(lists, ["group"]).sortWithinPartitions("group", "pos")
+    ordered.write.partitionBy("group").mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def write_info(info: DataFrame, choice: int | str, path: str) -> None:

@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import re
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quoteloom.functions.dates import FILE_DATE, file_date
+from quoteloom.functions.dates import file_date
 from quoteloom.functions.symbols import clean_symbol
 from quoteloom.functions.text import number, parses_or_missing, whole
 from quoteloom.operators.dedup import keep_last
 from quoteloom.schemas import BULK_COLUMNS, empty
-from quoteloom.sources.files import list_files, read_csv_files, union_by_name
+from quoteloom.session import stage
+from quoteloom.sources.files import field, list_files, read_csv
 
-# Above any row position inside one file; leaves room for 99,999 files of one date.
-FILE_STEP = "1000000000000000000000000000000000"
-
-BULK_ROWS = "date date, symbol string, open double, high double, low double, close double, volume bigint, file_no int, row_order decimal(38,0)"
+# Above any row position inside one file, see ``row_order``; leaves room for 10**14 files of one date.
+FILE_STEP = "1000000000000000000000000"
 
 
 def dated_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,9 +33,12 @@ def latest_files(spark: SparkSession, folder: str) -> tuple[date | None, list[st
     return (rows[0]["file_date"], [r["path"] for r in rows]) if rows else (None, [])
 
 
-def has_bulk_columns(df: DataFrame) -> bool:
-    """P3."""
-    return all(header in df.columns for header, _ in BULK_COLUMNS)
+def has_bulk_columns(raw: DataFrame) -> DataFrame:
+    """Rows of the files that have all needed columns."""
+    has = F.lit(True)
+    for header, _ in BULK_COLUMNS:
+        has = has & F.map_contains_key("fields", header)
+    return raw.filter(has)
 
 
 def bulk_rows(raw: DataFrame) -> DataFrame:
@@ -57,7 +58,7 @@ def bulk_rows(raw: DataFrame) -> DataFrame:
         & parses_or_missing(text["high"])
         & parses_or_missing(text["low"])
     )
-    keep = [c for c in ("file_no", "row_order") if c in raw.columns]
+    keep = [c for c in ("file_name", "file_no", "row_order") if c in raw.columns]
     return raw.filter(valid).select(
         "date",
         clean_symbol(text["symbol"]).alias("symbol"),
@@ -72,27 +73,19 @@ def read_bulk(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     ``file_no`` ranks the files by name among those of the same date.
     """
-    if not paths:
-        return empty(spark, BULK_ROWS)
-    numbers = spark.createDataFrame(_file_numbers(paths), "file_name string, file_no int")
-    frames = [
-        bulk_rows(df.withColumn("date", file_date(F.col("file_name"))).join(numbers, "file_name"))
-        for df in read_csv_files(spark, paths)
-        if has_bulk_columns(df)
-    ]
-    return union_by_name(frames) if frames else empty(spark, BULK_ROWS)
-
-
-def _file_numbers(paths: list[str]) -> list[tuple[str, int]]:
-    """(name, rank among the names with the same date text)."""
-    seen: dict[str, int] = {}
-    out = []
-    for name in sorted({p.rsplit("/", 1)[-1] for p in paths}):
-        found = re.search(FILE_DATE, name)
-        day = found.group(1) if found else ""
-        seen[day] = seen.get(day, -1) + 1
-        out.append((name, seen[day]))
-    return out
+    raw = has_bulk_columns(read_csv(spark, paths)).withColumn("date", file_date(F.col("file_name")))
+    text = [field(header).alias(header) for header, _ in BULK_COLUMNS]
+    rows = bulk_rows(raw.select("date", "file_name", "row_order", *text))
+    return numbered(rows)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``file_no``, the rank of ``file_name`` among the names of the same date."""
+    rows = stage(rows, "bulk-rows")
+    by_name = Window.partitionBy("date").orderBy("file_name")
+    files = rows.select("date", "file_name").distinct()
+    files = stage(files.withColumn("file_no", F.row_number().over(by_name).cast("bigint")), "bulk-files")
+    return rows.join(files, ["date", "file_name"]).select(*rows.columns, "file_no")
 
 
 def last_written(rows: DataFrame) -> DataFrame:
@@ -101,6 +94,6 @@ def last_written(rows: DataFrame) -> DataFrame:
     File number and row position make one fixed-width key, so this is a hash aggregate.
     """
     step = F.lit(FILE_STEP).cast("decimal(38,0)")
-    order = F.col("file_no").cast("decimal(5,0)") * step + F.col("row_order")
-    ordered = rows.withColumn("row_order", order.cast("decimal(38,0)")).drop("file_no")
+    order = F.col("file_no").cast("decimal(14,0)") * step + F.col("row_order")
+    ordered = rows.withColumn("row_order", order.cast("decimal(38,0)")).drop("file_no", "file_name")
     return keep_last(ordered, ["symbol", "date"], "row_order").drop("row_order")

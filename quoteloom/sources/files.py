@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import csv
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteloom.functions.text import order_key
+from quoteloom.functions.text import strip
 from quoteloom.schemas import empty
+from quoteloom.session import glob, stage
 
-# Header lines are looked for in this many bytes; files up to SMALL_FILE bytes may be loaded whole.
-HEADER_BYTES = 65536
-SMALL_FILE = 8 * 1024 * 1024
+CSV_ROWS = "path string, file_name string, row_order decimal(24,0), fields map<string,string>"
+
+# ``monotonically_increasing_id`` counts the rows of a partition in its lower 33 bits.
+ROW_BITS = 33
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -38,10 +38,22 @@ def first_existing(spark: SparkSession, paths: list[str]) -> str:
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A stored Parquet table with a fixed schema; a missing path is an empty table."""
+    """A stored Parquet table with a fixed schema; a missing path is an empty table.
+
+    Of a table that is replaced as a whole (``replace_table``) this is the newest complete version.
+    """
+    numbers = versions(spark, path)
+    if numbers:
+        return spark.read.schema(schema).parquet(f"{path}/version={numbers[-1]}")
     return read_partitions(spark, path, path, schema)
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions of a table that is replaced as a whole; incomplete ones have no marker."""
+    marks = glob(spark, f"{literal(path)}/version=*/_SUCCESS")
+    return sorted(int(re.search(r"/version=(\d+)/", m).group(1)) for m in marks)
+
+
 def read_partitions(spark: SparkSession, root: str, below: str, schema: str) -> DataFrame:
     """The part ``below`` of a partitioned table at ``root``; only that part is listed."""
     try:
@@ -55,9 +67,26 @@ def read_partitions(spark: SparkSession, root: str, below: str, schema: str) ->
 def row_order() -> Column:
     """Position of a row in the scanned file: split offset, then row in the split.
 
-    The same file gives the same order whenever a task is run again.
+    The same file gives the same order whenever a task is run again. 24 digits hold offsets of files up to
+    100 TB.
     """
-    return order_key(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    row = F.monotonically_increasing_id().bitwiseAND((1 << ROW_BITS) - 1)
+    step = F.lit(10_000_000_000).cast("decimal(11,0)")
+    return (F.col("_metadata.file_block_start").cast("decimal(12,0)") * step + row).cast("decimal(24,0)")
+
+
+def file_path() -> Column:
+    """Path of the scanned file as it is listed; the metadata column has it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def name_of(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def literal(path: str) -> str:
+    """``path`` with the characters escaped that readers take for patterns."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
@@ -66,59 +95,70 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFra
     if not exists(spark, pattern):
         return empty(spark, "path string, name string")
     files = spark.read.format("binaryFile").load(pattern)
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+    return files.select("path", name_of(F.col("path")).alias("name"))
 
 
-def header_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], list[str]]]:
-    """Files with the same header line, as (column names, paths).
+def csv_values(line: Column) -> Column:
+    """The fields of a line; quotes around a field go, doubled quotes inside it are one."""
+    field = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*)'), 1)
+    unquote = lambda x: F.when(
+        x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
+    ).otherwise(x)
+    return F.when(line.contains('"'), F.transform(field, unquote)).otherwise(F.split(line, ",", -1))
 
-    The first lines of small files come from one job. A large file is opened by the CSV reader, which
-    reads one line of it; several are opened at a time. Neither way loads a large file, and the driver
-    receives no more names than it had to list anyway.
+
+def header_names(line: Column) -> Column:
+    """Names of a header line without blanks around them; unnamed and repeated ones get their position."""
+    names = F.transform(csv_values(F.translate(line, "\r﻿", "")), strip)
+    known = lambda x, i: (x == "") | (F.array_position(names, x) <= i)
+    return F.transform(names, lambda x, i: F.when(known(x, i), F.concat(F.lit("_c"), i.cast("string"))).otherwise(x))
+
+
+def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Rows of files with any mix of headers, as ``fields`` by header name; a missing field is NULL.
+
+    The first line of a file that is not blank is its header, whatever the size of file or header. Lines and
+    headers meet by path: one job for all files, and nothing of them passes through the driver.
     """
-    files = spark.read.format("binaryFile").load(paths)
-    line = F.substring_index(F.decode(F.substring("content", 1, HEADER_BYTES), "UTF-8"), "\n", 1)
-    small = (
-        files.filter(F.col("length") <= SMALL_FILE)
-        .select("path", F.translate(line, "\r\ufeff", "").alias("header"))
-        .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
+    if not paths:
+        return empty(spark, CSV_ROWS)
+    text = spark.read.text([literal(p) for p in paths]).select(
+        file_path().alias("path"), "value", row_order().alias("row_order"), F.col("_metadata.file_block_start").alias("at")
+    )
+    text = text.where(F.length(strip(F.col("value"))) > 0)
+    first = text.where("at = 0").groupBy("path").agg(
+        F.min_by("value", "row_order").alias("header"), F.min("row_order").alias("header_order")
+    )
+    first = stage(first.select("path", header_names(F.col("header")).alias("names"), "header_order"), "headers")
+    rows = text.join(first, "path").where(F.col("row_order") > F.col("header_order"))
+    values = F.transform(
+        F.sequence(F.lit(0), F.size("names") - 1), lambda i: F.nullif(F.get("_values", i), F.lit(""))
+    )
+    rows = rows.withColumn("_values", csv_values(F.col("value")))
+    return rows.select(
+        "path",
+        name_of(F.col("path")).alias("file_name"),
+        "row_order",
+        F.map_from_arrays("names", values).alias("fields"),
     )
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in small:
-        if row["header"].strip():
-            groups.setdefault(tuple(next(csv.reader([row["header"]]))), []).extend(row["paths"])
-    large = [r["path"] for r in files.filter(F.col("length") > SMALL_FILE).select("path").collect()]
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        for path, names in zip(large, pool.map(lambda p: spark.read.csv(p, header=True).columns, large)):
-            groups.setdefault(tuple(names), []).append(path)
-    return [(list(names), sorted(found)) for names, found in sorted(groups.items())]
-
-
-def _unique(names: list[str]) -> list[str]:
-    """Header names without blanks around them; unnamed and repeated ones get their position."""
-    out: list[str] = []
-    for i, name in enumerate(n.strip() for n in names):
-        out.append(name if name and name not in out else f"_c{i}")
-    return out
 
 
-def read_csv_group(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
-    """Files that share one header, all columns as text, with ``file_name`` and ``row_order``."""
-    names = _unique(header)
-    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(paths)
-    return df.select(
-        *[F.col(f"`{n}`") for n in names],
-        F.col("_metadata.file_name").alias("file_name"),
-        row_order().alias("row_order"),
-    )
+def field(*names: str) -> Column:
+    """The first of several fields that a row's file has, as text."""
+    out = F.lit(None).cast("string")
+    for name in reversed(names):
+        out = F.when(F.map_contains_key("fields", name), F.element_at("fields", name)).otherwise(out)
+    return out
 
 
-def read_csv_files(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
-    """One frame per distinct header. One read over all files would map columns by position."""
-    return [read_csv_group(spark, header, group) for header, group in header_groups(spark, paths)]
+def columns_of(spark: SparkSession, path: str) -> list[str]:
+    """Header names of one file."""
+    lines = spark.read.text(literal(path)).where(F.length(strip(F.col("value"))) > 0)
+    line = lines.where("_metadata.file_block_start = 0").limit(1).select(header_names(F.col("value")).alias("names")).first()
+    return line["names"] if line else []
 
 
-def union_by_name(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of one file as text, with ``row_order``."""
+    rows = read_csv(spark, [path])
+    return rows.select(*[F.element_at("fields", n).alias(n) for n in columns_of(spark, path)], "row_order")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quoteloom.functions.dates import stored_day, zone_suffix
 from quoteloom.functions.text import blank_to_null, number, whole
 from quoteloom.schemas import BARS, STATEMENTS
-from quoteloom.sources.files import list_files, read_csv_files, read_partitions, read_table, union_by_name
+from quoteloom.sources.files import columns_of, field, list_files, read_csv, read_partitions, read_table
 
 
 def read_bars(spark: SparkSession, path: str, interval: str | None = None) -> DataFrame:
@@ -24,13 +24,12 @@ def read_history_folder(spark: SparkSession, folder: str) -> DataFrame:
     The date is read as text and kept next to its calendar day (B5); the symbol is the file name.
     """
     paths = [r["path"] for r in list_files(spark, folder).select("path").collect()]
-    raw = union_by_name(read_csv_files(spark, paths))
-    text = _text_columns(raw)
+    raw, text = read_csv(spark, paths), field
     return raw.select(
         F.regexp_replace("file_name", r"\.csv$", "").alias("symbol"),
-        stored_day(F.col("Date")).alias("date"),
-        F.col("Date").alias("date_text"),
-        zone_suffix(F.col("Date")).alias("suffix"),
+        stored_day(text("Date")).alias("date"),
+        text("Date").alias("date_text"),
+        zone_suffix(text("Date")).alias("suffix"),
         number(text("Open")).alias("open"),
         number(text("High")).alias("high"),
         number(text("Low")).alias("low"),
@@ -46,19 +45,10 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, STATEMENTS)
 
 
-def _text_columns(raw: DataFrame):
-    def text(*names: str):
-        found = next((n for n in names if n in raw.columns), None)
-        return F.lit(None).cast("string") if found is None else F.col(f"`{found}`")
-
-    return text
-
-
 def read_dated_folder(spark: SparkSession, folder: str) -> DataFrame:
     """M3: CSV files of one date each, all symbols in each, as long bars with ``pos``."""
     paths = [r["path"] for r in list_files(spark, folder).select("path").collect()]
-    raw = union_by_name(read_csv_files(spark, paths))
-    text = _text_columns(raw)
+    raw, text = read_csv(spark, paths), field
     return raw.select(
         stored_day(text("Date")).alias("date"),
         blank_to_null(text("Symbol", "ticker")).alias("symbol"),
@@ -71,15 +61,13 @@ def read_dated_folder(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_ratio_csv(spark: SparkSession, path: str) -> DataFrame:
     """M9: a ratio series kept as CSV, the date first and the ratio second."""
-    (raw,) = read_csv_files(spark, [path])
-    day, value = raw.columns[:2]
-    return raw.select(stored_day(F.col(f"`{day}`")).alias("date"), number(F.col(f"`{value}`")).alias("ratio"))
+    day, value = columns_of(spark, path)[:2]
+    return read_csv(spark, [path]).select(stored_day(field(day)).alias("date"), number(field(value)).alias("ratio"))
 
 
 def read_rejects_csv(spark: SparkSession, path: str, source: str, interval: str | None = None) -> DataFrame:
     """Any of the three shapes of reject lists, ``Symbol, Date`` or ``ticker, error[, timeframe]``."""
-    (raw,) = read_csv_files(spark, [path])
-    text = _text_columns(raw)
+    raw, text = read_csv(spark, [path]), field
     return raw.select(
         blank_to_null(text("Symbol", "ticker")).alias("symbol"),
         F.lit(source).alias("source"),

@@ -9,7 +9,7 @@ from quoteloom.functions.choices import lists_for, parse_choice
 from quoteloom.functions.text import blank_to_null
 from quoteloom.operators.universe import union_lists
 from quoteloom.schemas import PAGES
-from quoteloom.sources.files import exists, first_existing, read_csv_files, row_order, union_by_name
+from quoteloom.sources.files import columns_of, exists, field, first_existing, read_csv, read_wide_csv, row_order
 
 SYMBOL_HEADERS = ["Symbol", "ticker", "symbol"]
 
@@ -19,11 +19,10 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
 
     Only an empty field is missing: a symbol spelled ``NA`` stays (N1).
     """
-    df = union_by_name(read_csv_files(spark, [path]))
-    column = next((c for c in SYMBOL_HEADERS if c in df.columns), None)
-    if column is None:
+    if not set(SYMBOL_HEADERS) & set(columns_of(spark, path)):
         raise ValueError(f"{path} has none of the columns {SYMBOL_HEADERS}")
-    out = df.select(blank_to_null(F.col(column)).alias("symbol"), F.col("row_order").alias("pos"))
+    rows = read_csv(spark, [path])
+    out = rows.select(blank_to_null(field(*SYMBOL_HEADERS)).alias("symbol"), F.col("row_order").alias("pos"))
     return out.filter(F.col("symbol").isNotNull())
 
 
@@ -41,8 +40,7 @@ def read_choice(spark: SparkSession, choice: int | str, folders: list[str]) -> D
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
     """A wide universe file with all its columns as text, and ``pos``."""
-    df = union_by_name(read_csv_files(spark, [path]))
-    return df.drop("file_name").withColumnRenamed("row_order", "pos")
+    return read_wide_csv(spark, path).withColumnRenamed("row_order", "pos")
 
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:

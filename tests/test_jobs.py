@@ -95,11 +95,43 @@ def test_bulk_rows_by_header(spark, tmp_path):
     assert bulk_source.read_bulk(spark, []).count() == 0
 
 
-def test_large_files_are_grouped_by_header_too(spark, tmp_path, monkeypatch):
-    _, paths = bulk_source.latest_files(spark, bulk_folder(tmp_path))
-    small = rows(bulk_source.last_written(bulk_source.read_bulk(spark, paths)))
-    monkeypatch.setattr(files, "SMALL_FILE", 120)
-    assert rows(bulk_source.last_written(bulk_source.read_bulk(spark, paths))) == small
+ODD_NAMES = ["All stocks _OHLCV_2025-10-01.csv", "a#b_2025-10-01.csv", "c%20d_2025-10-01.csv", "e+f[1]_2025-10-01.csv"]
+
+
+def test_file_names_with_odd_characters(spark, tmp_path):
+    for k, name in enumerate(ODD_NAMES):
+        put(tmp_path / name, STOCKS, f"S{k},s,1,1,1,1,1", f"ALL,s,1,1,1,{k}.5,1")
+    _, paths = bulk_source.latest_files(spark, str(tmp_path))
+    got = bulk_source.read_bulk(spark, paths)
+    assert rows(got.select("file_name").distinct()) == sorted((n,) for n in ODD_NAMES)
+    last = bulk_source.last_written(got)
+    assert {r["symbol"] for r in last.collect()} == {"ALL", "S0", "S1", "S2", "S3"}
+    assert last.filter("symbol = 'ALL'").first()["close"] == max(range(4), key=lambda k: ODD_NAMES[k]) + 0.5
+
+
+def test_history_names_with_odd_characters(spark, tmp_path):
+    for name in ("^GSPC", "BRK B", "A+B", "50%", "x#y"):
+        put(tmp_path / f"{name}.csv", "Date,Close", "2025-01-02,1")
+    got = history_source.read_history_folder(spark, str(tmp_path))
+    assert {r["symbol"] for r in got.collect()} == {"^GSPC", "BRK B", "A+B", "50%", "x#y"}
+
+
+def test_headers_of_any_kind(spark, tmp_path):
+    wide = ",".join(f"column number {k:06d}" for k in range(7000))
+    put(tmp_path / "wide_2025-10-01.csv", f"{wide},{STOCKS}", "," * 7000 + "WIDE,w,1,1,1,1,1")
+    put(tmp_path / "twice_2025-10-01.csv", f"{STOCKS},Symbol,symbol,\"quoted, name\"", 'TWO,"a ""b"", c",1,1,1,1,1,x,y,z')
+    put(tmp_path / "accents_2025-10-01.csv", STOCKS, "É" * 40000 + ",e,1,1,1,1,1")
+    (tmp_path / "nothing_2025-10-01.csv").write_text("")
+    _, paths = bulk_source.latest_files(spark, str(tmp_path))
+    got = {r["symbol"] for r in bulk_source.read_bulk(spark, paths).collect()}
+    assert {"WIDE", "TWO"} <= got
+    (raw,) = [r.fields for r in files.read_csv(spark, paths).collect() if r.file_name.startswith("twice")]
+    assert raw["quoted, name"] == "z" and raw["symbol"] == "y" and 'a "b", c' in raw.values()
+
+
+def test_empty_folder(spark, tmp_path):
+    assert history_source.read_history_folder(spark, str(tmp_path)).count() == 0
+    assert history_source.read_dated_folder(spark, str(tmp_path)).count() == 0
 
 
 def test_bulk_merge_and_backfill(spark, tmp_path):
@@ -140,6 +172,52 @@ def test_stream_equals_batches(spark, tmp_path):
     assert run("c2") == second
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 2, 100])
+def test_stream_does_not_depend_on_batches(spark, tmp_path, files_per_batch):
+    folder = tmp_path / "in"
+    for k, name in enumerate(["b", "a", "c c"]):
+        put(folder / f"{name}_2025-10-01.csv", STOCKS, f"AAPL,a,1,1,1,{k + 1}.0,1", f"{name[0].upper()},x,1,1,1,1,1")
+    put(folder / "a_2025-09-30.csv", STOCKS, "OLD,a,1,1,1,5.0,1")
+    store, expected = str(tmp_path / "streamed"), str(tmp_path / "expected")
+    old = spark.createDataFrame([("OLD", date(2025, 9, 30), 4.0)], "symbol string, date date, close double")
+    for path in (store, expected):
+        tables.append_bars(tables.as_bars(old, "1d", "history"), path)
+    bulk.run_backfill(spark, str(folder), None, expected)
+    stream_bulk_files(spark, str(folder), None, store, str(tmp_path / "c"), files_per_batch=files_per_batch).awaitTermination()
+    assert rows(history_source.read_bars(spark, store)) == rows(history_source.read_bars(spark, expected))
+
+
+def test_replacing_by_nothing(spark, tmp_path):
+    path = str(tmp_path / "rejects")
+    row = spark.createDataFrame([("A", "bulk", "1d", "x", None)], REJECTS)
+    tables.replace_rejects(row, path, "bulk", "1d")
+    tables.replace_rejects(row, path, "history", "1d")
+    tables.replace_rejects(row.limit(0), path, "bulk", "1d")
+    assert rows(files.read_table(spark, path, REJECTS).select("source")) == [("history",)]
+    lists = spark.createDataFrame([("B", 2, "g"), ("A", 1, "g"), ("C", 1, "h")], "symbol string, pos long, group string")
+    tables.write_lists(lists, str(tmp_path / "lists"))
+    tables.write_lists(lists.filter("group = 'g'"), str(tmp_path / "lists"))
+    got = spark.read.parquet(str(tmp_path / "lists"))
+    assert [r["symbol"] for r in got.orderBy("pos").collect()] == ["A", "B"]
+
+
+def test_a_crash_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "series")
+    tables.write_series(spark.createDataFrame([(date(2024, 1, 1), 0.5)], "date date, ratio double"), path)
+    (tmp_path / "series" / "version=2").mkdir()  # a run that never came to its end
+    assert rows(files.read_table(spark, path, "date date, ratio double")) == [(date(2024, 1, 1), 0.5)]
+    tables.write_series(spark.createDataFrame([(date(2024, 1, 2), 0.6)], "date date, ratio double"), path)
+    assert rows(files.read_table(spark, path, "date date, ratio double")) == [(date(2024, 1, 2), 0.6)]
+
+
+def test_sources_keep_their_bars(spark, tmp_path):
+    store = str(tmp_path / "bars")
+    bar = spark.createDataFrame([("A", date(2024, 1, 1), 1.0)], "symbol string, date date, close double")
+    tables.append_bars(tables.as_bars(bar, "1d", "bulk"), store)
+    tables.replace_dates(tables.as_bars(bar, "1d", "batch"), store)
+    assert rows(history_source.read_bars(spark, store).select("source")) == [("batch",), ("bulk",)]
+
+
 def test_history_folder_with_mixed_suffixes(spark, tmp_path):
     put(tmp_path / "AAPL.csv", "Date,Open,High,Low,Close,Volume", "2025-03-03 00:00:00-05:00,1,2,0.5,1.5,10", "2025-09-05 00:00:00-04:00,2,3,1.5,2.5,20")
     put(tmp_path / "BRK-B.csv", "Date,Close,Volume,sector", "2025-09-05,N/A,7.9,Fin")
@@ -293,7 +371,10 @@ def test_universe_job_and_choices(spark, tmp_path):
     assert info.first()["description"] == "Apple"
     put(tmp_path / "lists" / "test_tickers.csv", "ticker", "TSLA", "AAPL")
     universe.run_choice(spark, 8, built, [str(tmp_path / "lists")], out)
-    assert rows(spark.read.parquet(f"{out}/info_clean/choice=8")) == [("AAPL",), ("TSLA",)]
+    listed = spark.read.parquet(f"{out}/info_clean/choice=8")
+    assert [r["symbol"] for r in listed.orderBy("pos").collect()] == ["TSLA", "AAPL"]
+    kinds = {str(spark.read.parquet(f"{out}/info/choice={c}").schema) for c in ("0", "1", "2", "1-2")}
+    assert len(kinds) == 1
 
 
 def test_lists_and_info_jobs(spark, tmp_path):
@@ -303,9 +384,12 @@ def test_lists_and_info_jobs(spark, tmp_path):
     pages = spark.createDataFrame([("http://x/List_of_S%26P_500_companies", page), ("http://x/List_of_S%26P_600_companies", page.replace("MMM", "AAP"))], "url string, html string")
     out = str(tmp_path / "out")
     universe.run_lists(spark, directory, pages, built, out, choice=2, own_lists={"portfolio": symbols(spark, "P")})
-    assert rows(spark.read.parquet(f"{out}/lists")) == [
+    stored = spark.read.parquet(f"{out}/lists")
+    assert rows(stored.filter("group <> 'universe_clean'").select("symbol", "group")) == [
         ("AAP", "sp600"), ("AAPL", "nasdaq_all"), ("AAPL", "universe"), ("BRK-A", "universe"), ("MMM", "sp500"), ("P", "portfolio"), ("SMALL", "universe"),
     ]
+    ordered = stored.filter("group = 'universe'").orderBy("pos")
+    assert [r["symbol"] for r in ordered.collect()] == [r["symbol"] for r in built.orderBy("pos").collect()]
     assert rows(spark.read.parquet(f"{out}/provider_info/choice=2").select("symbol", "longName")) == [("AAPL", "Apple")]
     info = universe.run_info(built, symbols(spark, "AAPL", "SMALL"), 1, out)
     run_clean_lists(info, symbols(spark, "SMALL", "SMALL"), symbols(spark, "AAPL"), out)
