@@ -203,6 +203,8 @@ def score(automaton: Automaton, text: str | None) -> tuple[float, list[tuple[int
             around += [w for w, _, _ in words[k + 1 : k + 4]]
             clean *= (1 - weight) * (1 if ADDRESSING.isdisjoint(around) else ADDRESS)
         spans.append((start, end, entry.text, mentioned))
+    if not spans:
+        return NO_MATCH, []
     return 1 - (1 - NO_MATCH) * clean * (1 - mention), spans
 
 

@@ -1,0 +1,68 @@
+import pytest
+from pyspark.sql import functions as F
+
+from quoteloom.llm import linededup
+from quoteloom.llm.linededup import dedup_lines
+
+
+def brute(rows, least=10):
+    key = lambda s: s.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+    seen = {}
+    for i, text in rows:
+        if i is None or text is None:
+            continue
+        for line in text.split("\n"):
+            seen.setdefault(key(line), set()).add(i)
+    out = []
+    for i, text in rows:
+        if text is None:
+            out.append((i, None, 1, 0))
+            continue
+        lines = text.split("\n")
+        keep = [x for x in lines if i is None or len(key(x)) < least or len(seen[key(x)]) < 2 or min(seen[key(x)]) == i]
+        out.append((i, "\n".join(keep), len(lines), len(lines) - len(keep)))
+    return sorted(out, key=str)
+
+
+ROWS = [
+    (3, "Shared line one here\nown text of three\nshort"),
+    (1, "  SHARED line ONE here \t\nshort\n\n"),
+    (2, "shared line one here\nshared line one here\nÄhnliche Zeile\nähnliche zeile"),
+    (4, None),
+    (5, ""),
+    (6, "Ähnliche Zeile\nelf zeichen\n" + "long " * 20000),
+    (7, "within only\nwithin only"),
+    (None, "Shared line one here"),
+    (8, "zwölfäöü12"),
+    (9, "zwölfäöü12 "),
+    (10, "ZWöLFäöü12"),
+]
+
+
+@pytest.mark.parametrize("filter_bits", [None, 1 << 12])
+def test_against_brute_force(spark, frame, monkeypatch, filter_bits):
+    if filter_bits:  # nearly every line is suspected then, with the same result
+        monkeypatch.setattr(linededup, "MIN_FILTER_BITS", filter_bits)
+        monkeypatch.setattr(linededup, "MAX_FILTER_BITS", filter_bits)
+    df = frame(ROWS)
+    found = dedup_lines(df, counts=("before", "gone"))
+    got = sorted(((r.doc_id, r.text, r.before, r.gone) for r in found.collect()), key=str)
+    assert got == brute(ROWS)
+    assert found.columns == [*df.columns, "before", "gone"]
+
+
+def test_edges(spark, frame):
+    df = frame(ROWS[:3])
+    assert dedup_lines(df.limit(0)).count() == 0
+    odd = df.withColumn("drop_id", F.lit(1)).withColumn("drops", F.lit("x")).withColumn("key", F.lit(2))
+    found = dedup_lines(odd)
+    assert found.columns == odd.columns and sorted(r.text for r in found.collect()) == sorted(t for _, t, *_ in brute(ROWS[:3]))
+    # Rows that repeat an id are one document, so nothing repeats.
+    same = frame([(1, "the same long line"), (1, "the same long line")])
+    assert [r.text for r in dedup_lines(same).collect()] == ["the same long line"] * 2
+
+
+def test_hot_line(spark, frame):
+    rows = [(k, "a line that all hold\nown line number " + str(k)) for k in range(500)]
+    got = {r.doc_id: r.text for r in dedup_lines(frame(rows)).collect()}
+    assert got[0].count("\n") == 1 and all(got[k] == f"own line number {k}" for k in range(1, 500))

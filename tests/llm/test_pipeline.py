@@ -1,0 +1,59 @@
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from quoteloom.llm.queries import SQL, clean_of_benchmark, clean_of_near_copies, clean_of_repeated_lines, clean_of_toxicity
+from quoteloom.llm.simhash import fingerprint
+from quoteloom.session import stage
+
+
+def test_stages_against_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, kept = docs.columns, docs
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        before = {r.doc_id: r.text for r in kept.collect()}
+        kept = stage(step(spark, kept, sf_dir), name)
+        after = {r.doc_id: r for r in kept.collect()}
+        assert kept.columns == columns and set(after) <= set(before)
+        if name == "line_dedup":
+            seen = {}
+            for i in sorted(before):
+                for line in before[i].split("\n"):
+                    seen.setdefault(line.strip(" \t\n\x0b\x0c\r").lower(), i)
+            assert set(after) == set(before)
+            for i, r in after.items():
+                lines = [x for x in before[i].split("\n") if len(key := x.strip(" \t\n\x0b\x0c\r").lower()) < 10 or seen[key] == i]
+                assert r.text == "\n".join(lines) and r.n_chars == len(r.text)
+        if name == "near_dedup":
+            prints = {i: fingerprint(t) for i, t in before.items()}
+            near = lambda i: [j for j in prints if j != i and bin(prints[i] ^ prints[j]).count("1") <= 3]
+            gone = set(before) - set(after)
+            assert all(near(i) for i in gone)
+            assert all(i in after for i in before if not near(i))
+        if name in ("toxicity", "decontamination"):
+            assert all(after[i].text == before[i] for i in after)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).collect()
+    assert {p.doc_id for p in pieces} == set(after)
+    assert "pipeline" not in SQL and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_run_is_registered(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in entry.queries()}
+    rows = corpus_pipeline.run(spark, sf_dir)
+    assert rows.count() > 0 and "sequence_id" in rows.columns
+
+
+def test_edges_of_stages(spark, frame):
+    labels = spark.createDataFrame([(None, 1, None), (3, None, 1)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(None, None), (1, "")], "item_id long, text string")
+    rows = [(1, None), (2, None), (None, "alpha beta gamma"), (None, "alpha beta gamma"), (5, ""), (6, "one two three four"), (6, "one two three four"), (7, "one two three four")]
+    df = frame(rows).withColumn("copy_id", F.lit("c")).withColumn("leak_id", F.lit(1)).withColumn("id", F.lit(2))
+    assert clean_of_toxicity(df, labels).count() == len(rows)
+    assert clean_of_benchmark(df, bench).count() == len(rows)
+    assert sorted(str(r.doc_id) for r in clean_of_near_copies(df).collect()) == ["1", "6", "6", "None", "None"]
+    assert clean_of_repeated_lines(df).columns == df.columns
+    none = df.limit(0)
+    for result in (clean_of_toxicity(none, labels), clean_of_benchmark(none, bench), clean_of_near_copies(none), clean_of_repeated_lines(none)):
+        assert result.count() == 0 and result.columns == df.columns
