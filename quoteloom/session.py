@@ -99,3 +99,11 @@ def temporary_stages(spark: SparkSession) -> Iterator[None]:
 
 
 _OPEN_STAGES: ContextVar[list[str] | None] = ContextVar("open_stages", default=None)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a file; missing folders above the new place are made."""
+    system, where = _hadoop(spark, new)
+    system.mkdirs(where.getParent())
+    if not system.rename(_hadoop(spark, old)[1], where):
+        raise OSError(f"{old} can't be moved to {new}")
