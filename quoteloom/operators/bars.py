@@ -37,6 +37,22 @@ def bars_from_ticks(ticks: DataFrame, keys: list[str], price: str, size: str, or
     )
 
 
+def bars_of_label(ticks: DataFrame, keys: list[str], unit: str, price: str, size: str, line: Column) -> DataFrame:
+    """R2 straight from ticks: one grouping by (key, label), which is ``resample`` over their daily bars.
+
+    ``line`` ranks the ticks of a day, by whole numbers below 10**33. Days hardly repeat in a symbol's ticks, so
+    grouping by day first would only shuffle nearly all rows once more.
+    """
+    if unit not in ("week", "month"):
+        raise ValueError(f"unit must be week or month, not {unit!r}")
+    step = F.lit("1" + "0" * 33).cast("decimal(34,0)")
+    day = (F.unix_date("date").cast("decimal(5,0)") * step).cast("decimal(38,0)")
+    order = (day + line.cast("decimal(38,0)")).cast("decimal(38,0)")
+    label = F.date_trunc(unit, F.col("date")).cast("date")
+    ticks = ticks.select(*keys, label.alias("date"), price, size, order.alias("_order"))
+    return bars_from_ticks(ticks, [*keys, "date"], price, size, F.col("_order"))
+
+
 def resample(bars: DataFrame, unit: str) -> DataFrame:
     """R2: weekly (label Monday) or monthly (label first day) bars from daily ones."""
     if unit not in ("week", "month"):
@@ -54,16 +70,22 @@ def resample(bars: DataFrame, unit: str) -> DataFrame:
     return bars.groupBy("symbol", label.alias("date")).agg(*aggs)
 
 
+# Fields that landed frames may have besides those of a bar.
+OTHER_FIELDS = frozenset(["Dividends", "Stock Splits", "Capital Gains", "Repaired?"])
+
+
 def _split_name(name: str, sep: str) -> tuple[str, str] | None:
-    """(symbol, field) of a column named ``SYM:Field`` or ``Field:SYM``."""
-    left, found, right = name.partition(sep)
-    if not found:
+    """(symbol, field) of a column named ``SYM:Field`` or ``Field:SYM``; the symbol may hold the separator too."""
+    fields = OTHER_FIELDS.union(WIDE_FIELDS)
+    if sep not in name:
         return None
-    if right in WIDE_FIELDS:
+    left, _, right = name.rpartition(sep)
+    if right in fields:
         return left, right
-    if left in WIDE_FIELDS:
+    left, _, right = name.partition(sep)
+    if left in fields:
         return right, left
-    return None
+    raise ValueError(f"column {name!r} names no known field")
 
 
 def wide_to_long(wide: DataFrame, date_col: str = "Date", sep: str = ":", symbol: str | None = None) -> DataFrame:

@@ -21,12 +21,26 @@ CELL = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]\s*>"
 TAG = r"<[^>]*>"
 LIST_ITEM = r"<li><a href=\"[^\"]*\">([^<]*)</a></li>"
 
+NUMERIC_ENTITY = r"&#([0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 
 
+def _character(number: Column) -> Column:
+    """Character of a decimal number, or of a hexadecimal one behind an x; an impossible one stays as it is."""
+    code = F.when(
+        F.lower(F.substring(number, 1, 1)) == "x", F.conv(F.substring(number, F.lit(2), F.length(number)), 16, 10)
+    ).otherwise(number)
+    code = code.try_cast("bigint")
+    whole = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(whole, code)), 8, "0")), "UTF-32")
+    return F.coalesce(char, F.concat(F.lit("&#"), number, F.lit(";")))
+
+
 def cell_text(c: Column) -> Column:
-    """Text of a cell: tags out, the common entities resolved, blanks trimmed."""
+    """Text of a cell: tags out, the common and all numeric entities resolved, blanks trimmed."""
     text = F.regexp_replace(c, TAG, "")
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMERIC_ENTITY), F.lit(1)))
+    text = F.aggregate(numbers, text, lambda t, n: F.replace(t, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return blank_to_null(text)
@@ -47,20 +61,23 @@ def table_cells(pages: DataFrame, table_no: int, key: str = "url") -> DataFrame:
     )
 
 
-def html_table_column(pages: DataFrame, table_no: int, column: str, key: str = "url") -> DataFrame:
+def html_table_column(pages: DataFrame, table_no: int | Column, column: str | Column, key: str = "url") -> DataFrame:
     """One named column of a page's table, below its header row, as (key, row_no, value).
 
+    Table number and name may depend on the page. Cells that span rows or columns count once, where they stand.
+
     The wanted cells are picked inside the array of rows, and only they are exploded: no join, no
     grouping by page, and no filter that would make Spark search the page text a second time.
     """
-    table = F.get(F.regexp_extract_all("html", F.lit(TABLE), F.lit(0)), F.lit(table_no))
+    table = F.get(F.regexp_extract_all("html", F.lit(TABLE), F.lit(0)), table_no if isinstance(table_no, Column) else F.lit(table_no))
 
     def cells(row: Column) -> Column:
         return F.regexp_extract_all(row, F.lit(CELL), F.lit(1))
 
-    with_rows = pages.select(key, F.regexp_extract_all(table, F.lit(ROW), F.lit(0)).alias("rows"))
+    wanted = (column if isinstance(column, Column) else F.lit(column)).alias("wanted")
+    with_rows = pages.select(key, F.regexp_extract_all(table, F.lit(ROW), F.lit(0)).alias("rows"), wanted)
     header = F.transform(cells(F.get("rows", F.lit(0))), cell_text)
-    located = with_rows.select(key, "rows", F.array_position(header, column).cast("int").alias("at"))
+    located = with_rows.select(key, "rows", F.array_position(header, F.col("wanted")).cast("int").alias("at"))
     values = F.transform("rows", lambda row: cell_text(F.get(cells(row), F.col("at") - 1)))
     found = located.select(key, F.posexplode(F.when(F.col("at") > 0, values)).alias("row_no", "value"))
     return found.filter((F.col("row_no") > 0) & F.col("value").isNotNull())
@@ -78,3 +95,17 @@ def index_members(pages: DataFrame, index: str) -> DataFrame:
     page = pages.filter(F.endswith("url", F.lit(ending)))
     found = html_table_column(page, table_no, column)
     return found.select(F.col("value").alias("symbol"), F.col("row_no").cast("bigint").alias("pos"))
+
+
+def all_index_members(pages: DataFrame) -> DataFrame:
+    """(group, symbol, pos) of all known indexes in one pass over the pages."""
+    name = table_no = column = F.lit(None)
+    for group, (ending, number, header) in INDEX_TABLES.items():
+        here = F.endswith("url", F.lit(ending))
+        name, table_no, column = (
+            F.when(here, F.lit(v)).otherwise(old) for v, old in ((group, name), (number, table_no), (header, column))
+        )
+    known = pages.select("html", name.alias("group"), table_no.cast("int").alias("_no"), column.alias("_column"))
+    known = known.filter(F.col("group").isNotNull())
+    found = html_table_column(known, F.col("_no"), F.col("_column"), key="group")
+    return found.select("group", F.col("value").alias("symbol"), F.col("row_no").cast("bigint").alias("pos"))

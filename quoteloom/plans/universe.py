@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quoteloom.functions.choices import LISTED_INDEXES, choice_kind, known_key, parse_choice
 from quoteloom.operators.directory import directory_symbols
 from quoteloom.operators.info import info_for, provider_info
-from quoteloom.operators.pages import INDEX_TABLES, index_members
+from quoteloom.operators.pages import all_index_members
 from quoteloom.operators.universe import (
     build_universe,
     by_choice,
@@ -82,11 +82,11 @@ def run_lists(
     lists (from ``folders``). The cleaned universe and its info come besides. Every list keeps its order.
     """
     groups = {"nasdaq_all": directory_symbols(directory)}
-    groups.update({name: index_members(pages, name) for name in INDEX_TABLES})
     groups["universe"] = universe
     groups["universe_clean"] = clean_web_symbols(universe)
     groups.update(own_lists or {})
     rows = [_listed(df).withColumn("group", F.lit(name)) for name, df in groups.items()]
+    rows.append(all_index_members(pages).select("symbol", F.col("pos").cast("decimal(38,0)").alias("pos"), "group"))
     write_lists(reduce(DataFrame.unionByName, rows), f"{out}/lists")
     if choice_kind(choice) == "flags":
         chosen = by_choice(universe, choice)

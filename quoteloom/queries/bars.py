@@ -37,12 +37,21 @@ def _resample_sql(unit: str) -> str:
 
 @query("bars_weekly", "R2", _resample_sql("week"))
 def bars_weekly(spark, sf):
-    return resample(i.part_bars(spark, sf), "week")
+    return i.part_bars_by(spark, sf, "week")
 
 
 @query("bars_monthly", "R2", _resample_sql("month"))
 def bars_monthly(spark, sf):
-    return resample(i.part_bars(spark, sf), "month")
+    return i.part_bars_by(spark, sf, "month")
+
+
+@query(
+    "bars_weekly_from_daily",
+    "R2",
+    _resample_sql("week").replace(i.PART_BARS_SQL, i.SUPPLIER_BARS_SQL).replace("FROM part_bars", "FROM supplier_bars"),
+)
+def bars_weekly_from_daily(spark, sf):
+    return resample(i.supplier_bars(spark, sf), "week")
 
 
 @query(

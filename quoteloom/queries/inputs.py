@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteloom.functions.text import cents, order_key
-from quoteloom.operators.bars import bars_from_ticks
+from quoteloom.operators.bars import bars_from_ticks, bars_of_label
 from quoteloom.operators.universe import build_universe
 
 
@@ -118,6 +118,12 @@ def part_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_bars(spark, sf_dir, "l_partkey")
 
 
+def part_bars_by(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
+    """Weekly or monthly bars by part; lines are ranked by order, line number and part as in the daily bars."""
+    bars = bars_of_label(line_ticks(spark, sf_dir, "l_partkey"), ["key"], unit, "price", "size", F.col("line"))
+    return bars.select(F.col("key").cast("string").alias("symbol"), "date", "open", "high", "low", "close", "volume")
+
+
 def supplier_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_bars(spark, sf_dir, "l_suppkey")
 

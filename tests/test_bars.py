@@ -157,3 +157,20 @@ def test_trading_snapshot_is_the_last_trailing_row(spark):
         assert (snap[s]["fiftyDayAverage"], snap[s]["twoHundredDayAverage"]) == (a["avg_50"], a["avg_200"])
         assert (snap[s]["fiftyTwoWeekHigh"], snap[s]["fiftyTwoWeekLow"]) == (h["high_52w"], h["low_52w"])
         assert snap[s]["averageDailyVolume10Day"] == v["avg_volume_10"]
+
+
+def test_symbols_that_hold_the_separator(spark):
+    df = spark.createDataFrame([("2024-01-02", 1.0, 2.0)], "Date string, `NYSE:IBM:Close` double, `Close:LSE:BP` double")
+    assert rows(bars.wide_to_long(df).select("symbol", "close")) == [("LSE:BP", 2.0), ("NYSE:IBM", 1.0)]
+    with pytest.raises(ValueError, match="no known field"):
+        bars.wide_to_long(df.withColumnRenamed("NYSE:IBM:Close", "NYSE:IBM:Shut"))
+
+
+def test_averages_skip_missing_values(spark):
+    data = [("A", date(2024, 1, d), None, None, c, v) for d, c, v in ((1, 1.0, 100), (2, float("nan"), None), (3, 3.0, 100), (4, float("inf"), None), (5, 0.004, None))]
+    df = spark.createDataFrame(data, "symbol string, date date, high double, low double, close double, volume bigint")
+    assert [r["avg_50"] for r in trailing.moving_averages(df).orderBy("date").collect()] == [1.0, 1.0, 2.0, 2.0, pytest.approx(4.004 / 3)]
+    assert [r["avg_volume_10"] for r in trailing.average_volume(df).orderBy("date").collect()] == [100.0] * 5
+    newest = trailing.trading_snapshot(df)
+    assert newest.first()["averageDailyVolume10Day"] == 100.0
+    assert "WindowGroupLimit" in newest._jdf.queryExecution().executedPlan().toString()

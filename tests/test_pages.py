@@ -2,8 +2,11 @@ from datetime import date, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from quoteloom.operators import pages, ratio
+from quoteloom.schemas import RATIO_SERIES
+from quoteloom.sources.files import read_table
 from quoteloom.operators.directory import directory_symbols
 from quoteloom.plans.ratio import published_ratios, run_ratio
 
@@ -55,10 +58,10 @@ def test_run_ratio_twice_changes_nothing(spark, tmp_path):
     assert published_ratios(landed).count() == 3
     path = str(tmp_path / "ratio")
     assert tuple(run_ratio(spark, landed, path, TODAY).first()) == (TODAY, 0.1)
-    first = rows(spark.read.parquet(path))
+    first = rows(read_table(spark, path, RATIO_SERIES))
     assert len(first) == 3
     run_ratio(spark, landed, path, TODAY)
-    assert rows(spark.read.parquet(path)) == first
+    assert rows(read_table(spark, path, RATIO_SERIES)) == first
 
 
 HTML = """<html><TABLE class="a"><tr><th>x</th></tr></TABLE>
@@ -98,3 +101,11 @@ def test_directory(spark):
     df = spark.createDataFrame([(v, k) for k, v in enumerate(lines)], "value string, pos bigint")
     assert rows(directory_symbols(df)) == [("AAPL", "OTHER"), ("IBM", "NYSE")]
     assert rows(directory_symbols(df.drop("pos")).select("symbol")) == [("AAPL",), ("IBM",)]
+
+
+def test_numeric_entities(spark):
+    from quoteloom.operators.pages import cell_text
+
+    df = spark.createDataFrame([("BF&#46;B",), ("&#x42;RK&#46;A &#38;amp; &#20013;&#128578;",), ("&#0; &#xD800;",)], "c string")
+    got = [r[0] for r in df.select(cell_text(F.col("c"))).collect()]
+    assert got == ["BF.B", "BRK.A & 中🙂", "&#0; &#xD800;"]
