@@ -226,10 +226,10 @@ def universe_multi_choice(spark, sf):
 def symbol_list_union(spark, sf):
     rows = clean_symbols(normalise_headers(i.raw_universe(spark, sf)))
     lists = [rows.filter(c).select("symbol", "pos") for c in ("sector = 'LARGE'", "sector = 'PROMO'", "exchange = 'NYSE'")]
-    step = F.lit("1000000000000000000000000000000000000").cast("decimal(38,0)")
+    step = F.lit("1000000000000000000000000").cast("decimal(38,0)")
     pos = F.col("pos")
     return union_lists(lists).select(
-        "symbol", F.expr("cast(pos div 1000000000000000000000000000000000000BD as int)").alias("list"),
+        "symbol", F.expr("cast(pos div 1000000000000000000000000BD as int)").alias("list"),
         (pos % step).cast("bigint").alias("pos"),
     )
 
