@@ -10,12 +10,21 @@ from pyspark.sql import functions as F
 
 # Characters held at once while texts are worked on as arrays; one longer text is worked on alone.
 CHUNK_CHARS = 1_000_000
+# Rows that go to a Python worker at once: a few MB of texts, in the worker and in the JVM beside it.
+BATCH_ROWS = 1000
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(df: DataFrame) -> None:
+    """Makes the session hand at most :data:`BATCH_ROWS` rows to Python workers at once."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+
+
 def fold(doc_id: str = "doc_id") -> Column:
     """Fold 0 to 4 of a row: ``crc32`` of the id as text, modulo 5; NULL for a NULL id."""
     return F.crc32(F.col(doc_id).cast("string")) % 5

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quoteloom.llm.common import chunks, segment_ids
+from quoteloom.llm.common import chunks, segment_ids, small_batches
 
 BUCKETS = 1 << 16  # for each of the two orders
 UNKNOWN = "und"
@@ -138,6 +138,7 @@ def identify_languages(
 
     ``langs`` and ``shares`` give the chosen set, largest share first; at most ``max_languages`` of them.
     """
+    small_batches(df)
     spark = df.sparkSession
     known = labelled.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     counts = dict(known.groupBy(lang_col).count().collect())

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteloom.llm.common import chunks, mixed
+from quoteloom.llm.common import chunks, mixed, small_batches
 
 SHINGLE = 5
 WORD = re.compile(r"\w+")
@@ -215,6 +215,7 @@ def scan_licenses(
             names = ["id", "license", "notice", "containment", "first_word", "n_windows"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
+    small_batches(df)
     id_type = df.schema[id_col].dataType.simpleString()
     rows = df.where(F.length(text_col) > 0).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = f"id {id_type}, license string, notice int, containment double, first_word long, n_windows long"

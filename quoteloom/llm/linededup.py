@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from quoteloom.llm.common import fresh, mixed
+from quoteloom.llm.common import fresh, mixed, small_batches
 from quoteloom.session import stage
 
 MIN_FILTER_BITS, MAX_FILTER_BITS, BITS_PER_LINE = 1 << 20, 1 << 30, 16
@@ -135,6 +135,7 @@ def dedup_lines(
     A line repeats if its key (see :func:`line_keys`) has at least ``min_chars`` code points and stands in two
     documents or more. ``counts`` names two more columns: lines before, and lines taken out.
     """
+    small_batches(docs)
     spark = docs.sparkSession
     bits = _filter_size(docs, text_col)
     twice = spark.sparkContext.broadcast(twice_filter(docs, text_col, min_chars, bits))
@@ -157,13 +158,10 @@ def dedup_lines(
             kinds = (batch.schema.field(0).type, pa.int32(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["id", "slot", "hash", "key"])
 
-    def select(suspects: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                pairs = zip(batch.column(text_at).to_pylist(), batch.column(id_at).to_pylist())
-                yield batch.filter(pa.array([is_suspect(t, i) == suspects for t, i in pairs], pa.bool_()))
-
-        return run
+    def select(batches: Iterator[pa.RecordBatch], suspects: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(text_at).to_pylist(), batch.column(id_at).to_pylist())
+            yield batch.filter(pa.array([is_suspect(t, i) == suspects for t, i in pairs], pa.bool_()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +205,7 @@ def dedup_lines(
         .groupBy(F.col("id").alias(drop_id))
         .agg(F.collect_set(F.struct("slot", "hash")).alias(drops))
     )
-    whole = docs.mapInArrow(select(False), docs.schema).mapInArrow(cut, out_schema)
-    touched = docs.mapInArrow(select(True), docs.schema)
+    whole = docs.mapInArrow(lambda batches: cut(select(batches, False)), out_schema)
+    touched = docs.mapInArrow(lambda batches: select(batches, True), docs.schema)
     touched = touched.join(gone, F.col(id_col) == F.col(drop_id), "left").select(*[F.col(f"`{c}`") for c in names], drops)
     return whole.unionByName(touched.mapInArrow(cut, out_schema))

@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quoteloom.llm.common import small_batches
+
 # Entries of the cache of encoded words in each Python worker.
 CACHE_WORDS = 1_000_000
 # Left-over pieces that a task holds before it fills sequences from them.
@@ -207,6 +209,7 @@ def pack_documents(
     """
     if tokens & (tokens - 1) or segments < 1:
         raise ValueError("tokens must be a power of two, segments at least 1")
+    small_batches(df)
     most_loss = tokens if loss_tokens is None else loss_tokens
     if most_loss < 1:
         raise ValueError("loss_tokens must be at least 1")

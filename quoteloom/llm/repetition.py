@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteloom.llm.common import chunks, segment_ids
+from quoteloom.llm.common import chunks, segment_ids, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -139,6 +139,7 @@ def repetition_measures(
                 found = [pa.array(x.astype(np.int64)) for x in _measures(texts[a:b], min_words)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *found], ["id", *MEASURES])
 
+    small_batches(df)
     id_type = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"id {id_type}, " + ", ".join(f"{m} long" for m in MEASURES))

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quoteloom.llm.common import small_batches
 from quoteloom.llm.components import connected_components
 from quoteloom.session import stage
 
@@ -60,6 +61,7 @@ def fingerprints(df: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_c
             prints = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "fp"])
 
+    small_batches(df)
     id_type = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {id_type}, fp long")

@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quoteloom.llm.common import small_batches
 from quoteloom.session import stage
 
 # A word may hold digits, and symbols between two word characters.
@@ -262,6 +263,7 @@ def learn_lexicon(
     docs: DataFrame, labels: DataFrame, max_labelled: int = 2000, id_col: str = "doc_id", text_col: str = "text"
 ) -> list[Entry]:
     """Lexicon from ``docs`` and ``labels`` (``id_col``, ``toxic`` 0 or 1). Most labels of an id count, 1 in a tie."""
+    small_batches(docs)
     known = labels.where(F.col(id_col).isNotNull() & F.col("toxic").isin(0, 1))
     known = known.groupBy(F.col(id_col).alias("label_id")).agg((F.avg("toxic") >= 0.5).cast("int").alias("toxic"))
     sizes = dict(known.groupBy("toxic").count().collect())
@@ -350,6 +352,7 @@ def score_toxicity(
             columns = [batch.column(0), pa.array([x[0] for x in found], pa.float64()), pa.array(spans, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["id", "score", "spans"])
 
+    small_batches(df)
     id_type = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     spans = "array<struct<start: int, end: int, entry: string, mentioned: boolean>>"
@@ -360,6 +363,7 @@ def drop_toxic(
     df: DataFrame, entries: list[Entry], threshold: float = 0.5, text_col: str = "text"
 ) -> DataFrame:
     """``df``, all columns, without the rows that score ``threshold`` or more."""
+    small_batches(df)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
