@@ -64,30 +64,27 @@ def high_low(bars: DataFrame, days: int = 365) -> DataFrame:
 def trading_snapshot(bars: DataFrame) -> DataFrame:
     """R3-R5 at the newest bar of each symbol, without computing them for every bar.
 
-    The averages are conditional sums over row ranks; a symbol's days of one year fit in an array.
+    The averages are conditional sums over row ranks.
     """
     newest_first = Window.partitionBy("symbol").orderBy(F.desc("date"))
     # One bar per day, so the newest 365 rows hold the last 365 days; Spark cuts the rest before the shuffle.
     ranked = bars.select(
         "symbol", "date", "high", "low", "close", "volume", F.row_number().over(newest_first).alias("_rank")
     ).filter("_rank <= 365")
+    # A second window after the cut, over rows that are already sorted.
+    ranked = ranked.withColumn("_last", F.first("date").over(newest_first))
     rank = F.col("_rank")
 
     def mean(value: Column, n: int) -> Column:
         kept = F.when(rank <= n, value)
         return exact_mean(F.sum(kept), F.count(kept))
 
-    newest = ranked.groupBy("symbol").agg(
-        F.max("date").alias("date"),
+    in_year = F.col("date") > F.date_sub("_last", 365)
+    return ranked.groupBy("symbol").agg(
+        F.max("_last").alias("date"),
         mean(exact(F.col("close")), 50).alias("fiftyDayAverage"),
         mean(exact(F.col("close")), 200).alias("twoHundredDayAverage"),
+        F.max(F.when(in_year, F.col("high"))).alias("fiftyTwoWeekHigh"),
+        F.min(F.when(in_year, F.col("low"))).alias("fiftyTwoWeekLow"),
         mean(F.col("volume"), 10).alias("averageDailyVolume10Day"),
-        F.collect_list(F.struct("date", "high", "low")).alias("_days"),
-    )
-    year = F.filter("_days", lambda d: d["date"] > F.date_sub("date", 365))
-    return newest.select(
-        "symbol", "date", "fiftyDayAverage", "twoHundredDayAverage",
-        F.array_max(F.transform(year, lambda d: d["high"])).alias("fiftyTwoWeekHigh"),
-        F.array_min(F.transform(year, lambda d: d["low"])).alias("fiftyTwoWeekLow"),
-        "averageDailyVolume10Day",
     )
