@@ -14,6 +14,8 @@ packed as often as they come; an empty table gives no rows; other columns are ig
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -56,15 +58,26 @@ class _Words(dict):
         return ids
 
 
+def added_tokens(json_path: str) -> dict[str, int]:
+    """Ids of the added tokens of a ``tokenizers`` file, by their text."""
+    with open(json_path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    for token in tokens:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} takes in what is beside it")
+    return {token["content"]: token["id"] for token in tokens}
+
+
 class Encoder:
     """Byte-level BPE with a cache by word.
 
     A token never spans a place where a single blank stands between two other characters, so a text without
     adjoining blanks can be encoded word by word; any other text is encoded as a whole. Both give the ids of the
-    plain encoder.
+    plain encoder. A text is cut at the strings in ``added`` first (the longest where several begin), which become
+    their ids.
     """
 
-    def __init__(self, ranks_path: str):
+    def __init__(self, ranks_path: str, added: dict[str, int] | None = None):
         import public_tokenizers
         import tiktoken
 
@@ -73,8 +86,16 @@ class Encoder:
         plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.encode = plain.encode_ordinary
         self.words = _Words(self.encode)
+        self.added = {text: np.array([k], dtype="<u4") for text, k in (added or {}).items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def ids(self, text: str) -> np.ndarray:
+        if not any(a in text for a in self.added):
+            return self._plain(text)
+        parts = [self.added[p] if k % 2 else self._plain(p) for k, p in enumerate(self.cut.split(text))]
+        return np.concatenate(parts)
+
+    def _plain(self, text: str) -> np.ndarray:
         first, *rest = text.split(" ")
         try:
             if not first or first[-1].isspace():
@@ -85,14 +106,15 @@ class Encoder:
         return np.frombuffer(data, dtype="<u4")
 
 
-def encoder(ranks_path: str) -> Encoder:
+def encoder(ranks_path: str, added: dict[str, int] | None = None) -> Encoder:
     """The encoder of this Python worker. It hangs on an imported module, which lives from task to task."""
     import tiktoken
 
     kept = tiktoken.__dict__.setdefault("_quoteloom_encoders", {})
-    if ranks_path not in kept:
-        kept[ranks_path] = Encoder(ranks_path)
-    return kept[ranks_path]
+    key = (ranks_path, tuple((added or {}).items()))
+    if key not in kept:
+        kept[key] = Encoder(ranks_path, added)
+    return kept[key]
 
 
 class Packer:
@@ -200,12 +222,14 @@ def pack_documents(
     prompt_col: str | None = None,
     closing_id: int = 0,
     with_ids: bool = False,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per placed piece: where it comes from, its sequence and its place there.
 
     ``prompt_col`` names a text that comes before ``text_col`` and bears no loss; without it all tokens do.
     ``with_ids`` adds the ids as little-endian 32-bit values in column ``ids``. ``tokens`` must be a power of two.
-    Strings that name special tokens are ordinary text.
+    ``added`` has the ids of strings that are tokens of their own, see :func:`added_tokens`; without it all is
+    ordinary text.
     """
     if tokens & (tokens - 1) or segments < 1:
         raise ValueError("tokens must be a power of two, segments at least 1")
@@ -219,7 +243,7 @@ def pack_documents(
     end = np.array([closing_id], dtype="<u4")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(ranks_path)
+        codec = encoder(ranks_path, added)
         packer = Packer(TaskContext.get().partitionId() << SEQUENCE_BITS, tokens, segments, most_loss, with_ids)
 
         def out() -> pa.RecordBatch:

@@ -25,11 +25,7 @@ def named(name: str, sql: str | None = None):
 
 @named("op4_vector_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    from quoteloom.llm.packing import pack_documents
-
-    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packed(documents(spark, sf_dir), with_ids=False)
 
 
 LINES_SQL = r"""
@@ -238,10 +234,11 @@ def clean_of_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.join(leaks, F.col("doc_id") == F.col(name), "left_anti")
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """One row per piece of the sequences of 1024 tokens, with its token ids."""
+def packed(docs: DataFrame, with_ids: bool = True) -> DataFrame:
+    """One row per piece of the sequences of 1024 tokens, with its token ids: those of ``byte_bpe_50k.json``."""
     import public_tokenizers
 
-    from quoteloom.llm.packing import pack_documents
+    from quoteloom.llm.packing import added_tokens, pack_documents
 
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), with_ids=True)
+    ranks, added = (public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("tiktoken", "json"))
+    return pack_documents(docs, ranks, with_ids=with_ids, added=added_tokens(added))

@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from quoteloom.llm.packing import Packer, pack_documents
-from quoteloom.llm.queries import QUERIES
+from quoteloom.llm.queries import QUERIES, packed
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -86,3 +86,15 @@ def test_prompt_bears_no_loss(spark, reference):
     pieces = pack_documents(df, RANKS, prompt_col="q").collect()
     assert sum(p.loss_tokens for p in pieces) == len(reference(" Answer."))
     assert row.ids is not None
+
+
+def test_added_tokens_are_those_of_the_tokenizer(spark, frame):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, mark * 2, f"{mark} x", f"x{mark}y  z\n{mark}", "<|endoftext| >", f"<{mark}>", "plain text", "", None]
+    ids = {k: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
+    assert ids[0] == [64, 220, 50256, 275, 0]
+    assert check(packed(frame(texts), with_ids=False).collect(), ids) == 0
+    pieces = packed(frame(texts)).orderBy("doc_id", "start").collect()
+    for k, want in ids.items():
+        assert [i for p in pieces if p.doc_id == k for i in np.frombuffer(p.ids, "<u4")] == want
