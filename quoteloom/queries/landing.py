@@ -37,14 +37,17 @@ _BARS_SQL = """SELECT CAST(l_partkey AS VARCHAR) AS symbol, CAST(l_shipdate AS D
   WHERE CAST(l_shipdate AS DATE) IN (DATE '1998-01-05', DATE '1998-01-06', DATE '1998-01-07')"""
 
 
-def _lines(spark, sf) -> DataFrame:
-    lines = i.table(spark, sf, "lineitem").select(
+def _all_lines(spark, sf) -> DataFrame:
+    return i.table(spark, sf, "lineitem").select(
         F.col("l_partkey").cast("string").alias("symbol"), i.day("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("price"), F.col("l_quantity").cast("bigint").alias("size"),
         F.col("l_returnflag").alias("flag"), (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line"),
     )
+
+
+def _lines(spark, sf) -> DataFrame:
     days = [F.lit(f"1998-01-0{k}").cast("date") for k in (5, 6, 7)]
-    return lines.filter(F.col("date").isin(*days))
+    return _all_lines(spark, sf).filter(F.col("date").isin(*days))
 
 
 @query(
@@ -184,3 +187,32 @@ def universe_job_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     run_choice(spark, "1-2", run_universe(spark, path, out), [], out)
     stored = spark.read.parquet(f"{out}/info")
     return stored.select("symbol", F.col("choice").cast("string").alias("choice"), F.col("SP500").alias("sp500"))
+
+
+# The batch job over all days of lineitem and all parts.
+
+_ALL_BARS_SQL = """SELECT CAST(l_partkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS price,
+  CAST(l_quantity AS BIGINT) AS size, l_orderkey * 100 + l_linenumber AS line FROM lineitem"""
+
+
+@query(
+    "batch_job_all_days_round_trip",
+    "Q1 K1 A8 S8",
+    f"""WITH {_FIRST_SQL.format(bars=_ALL_BARS_SQL)}
+    SELECT symbol, date, close, volume, FALSE AS rejected FROM first
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), DATE '2002-01-01', NULL, NULL, TRUE FROM part
+    WHERE CAST(p_partkey AS VARCHAR) NOT IN (SELECT symbol FROM first)""",
+)
+def batch_job_all_days_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of the batch job, the second the same as the first: stored bars and the reject list."""
+    bars, rejects = work_path(spark, "bars"), work_path(spark, "rejects")
+    asked = i.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("symbol"), F.col("p_partkey").alias("pos"))
+    landed = _all_lines(spark, sf).select("symbol", "date", *[F.col("price").alias(c) for c in ("open", "high", "low", "close", "adj_close")], F.col("size").alias("volume"), F.col("line").alias("pos"))
+    for _ in range(2):
+        run_batch(spark, {"1d": landed}, asked, bars, rejects, date(2002, 1, 1), use_rejects=False)
+    stored = read_bars(spark, bars, "1d").select("symbol", "date", "close", "volume", F.lit(False).alias("rejected"))
+    none = F.lit(None)
+    gone = read_table(spark, rejects, BATCH_REJECTS).select(
+        "symbol", F.col("first_seen").alias("date"), none.cast("double").alias("close"), none.cast("bigint").alias("volume"), F.lit(True).alias("rejected")
+    )
+    return stored.unionByName(gone)
