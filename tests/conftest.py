@@ -23,9 +23,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))

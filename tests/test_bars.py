@@ -1,7 +1,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quoteloom.operators import bars, dedup, trailing

@@ -4,7 +4,7 @@ import json
 from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from quoteloom.operators.trailing import moving_averages
