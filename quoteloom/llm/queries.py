@@ -189,6 +189,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+@named("op13_pattern_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quoteloom.llm.patternpack import pack_by_patterns
+
+    return pack_by_patterns(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 # What the stages of corpus_pipeline.py do with the operators: their decisions, on rows of documents.
 
 
