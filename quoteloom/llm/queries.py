@@ -198,6 +198,45 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_by_patterns(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+SEARCH_SQL = r"""
+WITH folded AS (
+    SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM folded
+), asked AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), items AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL
+), sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM sizes
+), found AS (
+    SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM items) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM found, corpus GROUP BY term
+), scores AS (
+    SELECT item_id, doc_id,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // len))))::BIGINT AS score
+    FROM items JOIN found USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@named("op12_ranked_search", SEARCH_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.balltree import ranked_search
+
+    found = ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 # What the stages of corpus_pipeline.py do with the operators: their decisions, on rows of documents.
 
 
