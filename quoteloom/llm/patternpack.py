@@ -20,7 +20,10 @@ often as they come; an empty table gives no rows; other columns are ignored. Seq
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,33 +40,72 @@ GRID, DOCUMENTS = 64, 6
 BLOCK, BLOCK_WITH_IDS = 100_000, 16_384
 # A task numbers its sequences from its partition's number shifted by so many bits.
 SEQUENCE_BITS = 36
-# Entries of the cache of encoded words in each Python worker.
-CACHE_WORDS = 1_000_000
-_BLANKS = str.maketrans("\n\t\r", "   ")
+# Entries of each of the two caches in a Python worker.
+CACHE_WORDS = 500_000
+
+
+# Characters for which the fast way below gives what the library gives: visible ones below U+0180, without the one
+# whose lower case has two.
+_PLAIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+")
+
+
+def _runs() -> re.Pattern:
+    """Pieces of a plain word in lower case: contractions, runs of letters, single digits, runs of the rest."""
+    kinds: dict[str, list[str]] = {"L": [], "N": []}
+    for c in map(chr, range(0x21, 0x250)):
+        kinds.get(unicodedata.category(c)[0], []).append(c)
+    letters, digits = "".join(kinds["L"]), "".join(kinds["N"])
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^{letters}{digits}]+")
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself if it can be seen, else one from U+0100 on."""
+    seen = [k for k in range(256) if 0x21 <= k <= 0x7E or 0xA1 <= k <= 0xFF and k != 0xAD]
+    hidden = sorted(set(range(256)).difference(seen))
+    return {k: chr(k) for k in seen} | {k: chr(256 + n) for n, k in enumerate(hidden)}
 
 
 class WordEncoder:
-    """Ids of a ``tokenizers`` file that treats blanks as nothing but ends of words, with a cache by word.
+    """Ids of a ``tokenizers`` file that treats blanks as nothing but ends of words, with caches.
 
-    Texts are cut at ASCII blanks, tabs and line breaks only. The library encodes each word itself, with whatever
-    other space, marks or added tokens it holds, so the ids are those of the whole text.
+    Texts are cut at ASCII blanks, tabs and line breaks only, and each word's ids are kept. A new word of plain Latin
+    characters is cut into its runs as the file's pattern says, whose ids come from the file's own merge model; any
+    other word goes to the library as it is. Both give the ids of the whole text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge, self.find, self.shown = self.tokenizer.model.tokenize, _runs().findall, byte_characters()
         self.words: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {}
+
+    def _run(self, run: str) -> bytes:
+        shown = run if run.isascii() else run.encode().decode("latin-1").translate(self.shown)
+        found = array("I", [t.id for t in self.merge(shown)]).tobytes()
+        if len(self.runs) >= CACHE_WORDS:
+            self.runs.clear()
+        self.runs[run] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
+            runs = self.runs
+            found = b"".join([runs[r] if r in runs else self._run(r) for r in self.find(word.lower())])
+        else:
+            found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(self.words) >= CACHE_WORDS:
+            self.words = {"": b""}
+        if len(word) < 64:
+            self.words[word] = found
+        return found
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [text.translate(_BLANKS).split(" ") for text in texts]
-        new = list(set().union(*split).difference(self.words)) if split else []
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words, new = {"": b""}, list(set().union(*split).difference([""]))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.words[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+    def ids(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        get, new = self.words.get, self._word
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join([new(w) if (found := get(w)) is None else found for w in words])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -217,8 +259,8 @@ def pieces_of(df: DataFrame, tokenizer_path: str, tokens: int, closing_id: int,
         codec = encoder(tokenizer_path)
         for batch in batches:
             at, rows = [], []
-            for k, ids in enumerate(codec.ids(batch.column(1).to_pylist())):
-                ids += end
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                ids = codec.ids(text) + end
                 for piece, start in enumerate(range(0, len(ids), 4 * tokens)):
                     part = ids[start : start + 4 * tokens]
                     at.append(k)

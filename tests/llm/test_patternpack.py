@@ -53,15 +53,23 @@ def test_query_is_whole_and_dense(spark, sf_dir, reference):
 def test_encoder_gives_the_ids_of_the_library(reference):
     texts = ["", " ", "Two  Words\t\n here", "it's WE'VE '' 's", "<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "é ́e e ́", "a b c\x1cd\x85e",
              "ΟΔΟΣ ΟΔΟΣ. İstanbul ẞ", "日本 🙂🙂 12345 a1b2", "x" * 5000, "a\x0bb\x0cc\rd", "ﬁ ǅ K"]
-    found = WordEncoder(PATH).ids(texts)
-    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [reference(t)[:-1] for t in texts]
+    codec = WordEncoder(PATH)
+    for t in texts:
+        assert np.frombuffer(codec.ids(t), "<u4").tolist() == reference(t)[:-1], t
+
+
+def test_every_character_and_pair_of_kinds(reference):
+    codec = WordEncoder(PATH)
+    for c in map(chr, [*range(1, 0x400), 0x1E9E, 0x2028, 0x3000, 0x212A, 0x1F600]):
+        for text in (c, f"a{c}b", f"{c}{c}1", f"x'{c}S", f"é{c}!", f"'s{c}'ll"):
+            assert np.frombuffer(codec.ids(text), "<u4").tolist() == reference(text)[:-1], text
 
 
 def test_cache_starts_anew(monkeypatch, reference):
     monkeypatch.setattr(patternpack, "CACHE_WORDS", 3)
     codec = WordEncoder(PATH)
     for text in ("one two three four", "five one", "two six seven"):
-        assert np.frombuffer(codec.ids([text])[0], "<u4").tolist() == reference(text)[:-1]
+        assert np.frombuffer(codec.ids(text), "<u4").tolist() == reference(text)[:-1]
 
 
 def test_edges(spark, frame, reference):
