@@ -198,6 +198,59 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_by_patterns(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+PHRASES_SQL = r"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS piece_id, piece FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), words AS (
+    SELECT lang, piece_id, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) AS w,
+           generate_subscripts(regexp_extract_all(piece, '[^\x20\x09]+'), 1) AS pos
+    FROM pieces
+), grams AS (
+    SELECT lang, w AS w1, lead(w, 1) OVER p AS w2, lead(w, 2) OVER p AS w3, lead(w, 3) OVER p AS w4
+    FROM words WINDOW p AS (PARTITION BY piece_id ORDER BY pos)
+), f AS (
+    SELECT lang, w1 AS phrase, 1 AS k, count(*) AS f FROM grams GROUP BY ALL
+    UNION ALL
+    SELECT lang, w1 || ' ' || w2, 2, count(*) FROM grams WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL
+    SELECT lang, w1 || ' ' || w2 || ' ' || w3, 3, count(*) FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL
+    SELECT lang, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, 4, count(*) FROM grams WHERE w4 IS NOT NULL
+    GROUP BY ALL HAVING count(*) >= 30
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), cand AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cuts AS (
+    SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS lhs, array_to_string(w[c + 1:k], ' ') AS rhs
+    FROM cand, (SELECT unnest([1, 2, 3]) AS c) WHERE c < k
+), scored AS (
+    SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lhs JOIN f y ON y.lang = cuts.lang AND y.phrase = rhs
+), weakest AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS nth FROM scored) WHERE nth = 1
+), inner_phrases AS (
+    SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS over_a
+    FROM cand, (SELECT unnest([1, 2, 3]) AS i), (SELECT unnest([2, 3]) AS m)
+    WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), ranked AS (
+    SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase, a, l, r, score
+    FROM weakest w LEFT JOIN inner_phrases i ON i.lang = w.lang AND i.phrase = w.phrase
+    WHERE over_a IS NULL OR 100 * over_a < 80 * a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@named("op11_collocations", PHRASES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quoteloom.llm.collocations import collocations
+
+    return collocations(documents(spark, sf_dir))
+
+
 SEARCH_SQL = r"""
 WITH folded AS (
     SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
