@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from quoteloom.operators.directory import directory_symbols
-from quoteloom.operators.pages import html_list_items, html_table_column
+from quoteloom.operators.pages import html_list_items, html_table_column, table_cells
 from quoteloom.operators.ratio import gap_dates, latest_value, new_values, ratio_from_page, refresh
 from quoteloom.queries import inputs as i
 from quoteloom.queries.registry import query
@@ -101,6 +101,28 @@ def html_table_rows(spark, sf):
     return html_table_column(pages, 1, "Symbol", key="page_id")
 
 
+@query(
+    "html_table_spans",
+    "S11 Q9",
+    f"""WITH {_ITEMS_SQL}, cells AS (
+      SELECT page_id, CAST(n AS INTEGER) AS row_no, trim(value) AS value, CASE WHEN n % 3 = 1 THEN n ELSE n - (n + 2) % 3 END AS top
+      FROM items)
+    SELECT page_id, row_no, value, CAST(top AS VARCHAR) AS group_value FROM cells WHERE value <> ''""",
+)
+def html_table_spans(spark, sf):
+    """The link lists as tables behind a table in a table: three links share one cell of the first column, names span two."""
+    items = F.regexp_extract_all("html", F.lit('<li><a href="[^"]*">([^<]*)</a></li>'), F.lit(1))
+    row = lambda value, k: F.concat(
+        F.when(k % 3 == 0, F.concat(F.lit("<tr><td rowspan='3'>"), (k + 1).cast("string"), F.lit("</td>"))).otherwise(F.lit("<tr>")),
+        F.lit("<td colspan=2 title='a > b'>"), value, F.lit("<td><table><tr><td>inner</td></tr></table></td></tr>"),
+    )
+    head = "<TABLE><tr><td>a<table><tr><td>b</td></tr></table></td></tr></TABLE><table><tr><th>Group</th><th>Wide</th><th>Symbol</th><th>x</th></tr>"
+    html = F.concat(F.lit(head), F.array_join(F.transform(items, row), ""), F.lit("</table>"))
+    pages = i.table(spark, sf, "pages").select("page_id", html.alias("html"))
+    cells = table_cells(pages, 2, key="page_id").filter("row_no > 0 AND cells[2] IS NOT NULL")
+    return cells.select("page_id", "row_no", F.col("cells")[2].alias("value"), F.col("cells")[0].alias("group_value"))
+
+
 @query(
     "directory_symbols",
     "S5 P8 P9 B2",

@@ -1,4 +1,6 @@
+import random
 from datetime import date, timedelta
+from html.parser import HTMLParser
 
 import pytest
 from helpers import rows
@@ -109,3 +111,91 @@ def test_numeric_entities(spark):
     df = spark.createDataFrame([("BF&#46;B",), ("&#x42;RK&#46;A &#38;amp; &#20013;&#128578;",), ("&#0; &#xD800;",)], "c string")
     got = [r[0] for r in df.select(cell_text(F.col("c"))).collect()]
     assert got == ["BF.B", "BRK.A & 中🙂", "&#0; &#xD800;"]
+
+
+class Grid(HTMLParser):
+    """All tables of a page, read by a stack, as grids; a plain reading of the rules for spans."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.tables, self.open = [], []
+        self.feed(html)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.tables.append([])
+            self.open.append(self.tables[-1])
+        elif tag == "tr" and self.open:
+            self.open[-1].append([])
+        elif tag in ("td", "th") and self.open and self.open[-1]:
+            a = dict(attrs)
+            self.open[-1][-1].append([[], int(a.get("colspan", 1)), int(a.get("rowspan", 1)), True])
+
+    def handle_endtag(self, tag):
+        if tag in ("td", "th") and self.open and self.open[-1] and self.open[-1][-1]:
+            self.open[-1][-1][-1][3] = False
+        if tag == "table" and self.open:
+            self.open.pop()
+
+    def handle_data(self, data):
+        for table in self.open:
+            if table and table[-1] and table[-1][-1][3]:
+                table[-1][-1][0].append(data)
+
+    def grid(self, n):
+        hanging, out = [], []  # (column, text, rows left), by column
+        for row in self.tables[n]:
+            line, still = [], []
+
+            def hang(column, text, left):
+                line.append(text)
+                if left > 1:
+                    still.append((column, text, left - 1))
+
+            for parts, columns, rows_, _ in row:
+                while hanging and hanging[0][0] <= len(line):
+                    hang(*hanging.pop(0))
+                for _ in range(columns):
+                    hang(len(line), "".join(parts), rows_)
+            for cell in hanging:
+                hang(*cell)
+            hanging = still
+            out.append([t.strip() or None for t in line])
+        return out
+
+
+def random_table(rng, depth=0):
+    def cell():
+        spans = "".join(f' {n}span="{rng.randint(1, 3)}"' for n in ("row", "col") if rng.random() < 0.3)
+        inner = random_table(rng, depth + 1) if depth < 2 and rng.random() < 0.15 else ""
+        return f"<t{rng.choice('hd')}{spans}> c{rng.randint(0, 999)} <b>x</b>{inner}</t{'d'}>"
+
+    body = "".join(f"<TR>{''.join(cell() for _ in range(rng.randint(1, 4)))}</TR>" for _ in range(rng.randint(1, 5)))
+    return f"<p>text<table class=x><tbody>{body}</tbody></table>"
+
+
+def test_spans_and_nested_tables_against_a_stack(spark):
+    rng = random.Random(6)
+    htmls = ["".join(random_table(rng) for _ in range(3)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(htmls)), "url long, html string")
+    checked = 0
+    for n in range(4):
+        got = {}
+        for r in pages.table_cells(df, n).collect():
+            got.setdefault(r.url, {})[r.row_no] = list(r.cells)
+        for k, html in enumerate(htmls):
+            parsed = Grid(html)
+            if n < len(parsed.tables):
+                assert [got[k][r] for r in range(len(got[k]))] == parsed.grid(n), html
+                checked += 1
+    assert checked > 130
+
+
+def test_symbol_below_a_rowspan(spark):
+    html = (
+        "<table><tr><th colspan=2>Name<th>Symbol</tr><tr><td rowspan=2>G<td>a<td>AAA<tr><td>b<td>BBB</tr>"
+        "<tr><td colspan='2'>c</td><td rowspan=9>CCC</td></tr><tr><td>d</td><td>e</td></tr></table>"
+    )
+    df = spark.createDataFrame([("u", html), ("none", None), ("empty", ""), ("plain", "<table></table>")], "url string, html string")
+    got = rows(pages.html_table_column(df, 0, "Symbol"))
+    assert got == [("u", 1, "AAA"), ("u", 2, "BBB"), ("u", 3, "CCC"), ("u", 4, "CCC")]
