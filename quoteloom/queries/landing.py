@@ -18,7 +18,7 @@ from quoteloom.plans.universe import run_choice, run_universe
 from quoteloom.queries import inputs as i
 from quoteloom.queries.registry import query
 from quoteloom.session import glob, rename, work_path
-from quoteloom.sources.files import columns_of, list_files, read_table
+from quoteloom.sources.files import columns_of, field, list_files, read_csv, read_table
 from quoteloom.sources.history import read_bars, read_history_folder
 from quoteloom.schemas import RATIO_SERIES, REJECTS
 
@@ -216,3 +216,24 @@ def batch_job_all_days_round_trip(spark: SparkSession, sf: str) -> DataFrame:
         "symbol", F.col("first_seen").alias("date"), none.cast("double").alias("close"), none.cast("bigint").alias("volume"), F.lit(True).alias("rejected")
     )
     return stored.unionByName(gone)
+
+
+@query(
+    "csv_line_breaks",
+    "S2 S4",
+    """SELECT CAST(p_partkey AS VARCHAR) AS symbol, p_name || chr(10) || 'said "' || p_brand || '", ' || chr(10) || chr(10) || p_type AS note,
+      CASE WHEN p_size % 3 = 0 THEN ',' || chr(10) || '"' ELSE CAST(p_size AS VARCHAR) END AS size, CAST(p_retailprice AS DOUBLE) AS price FROM part""",
+)
+def csv_line_breaks(spark: SparkSession, sf: str) -> DataFrame:
+    """All parts as CSV files whose quoted fields hold line breaks, blank lines, commas and quotes, read in small splits."""
+    part = i.table(spark, sf, "part")
+    note = F.concat("p_name", F.lit('\nsaid "'), "p_brand", F.lit('", \n\n'), "p_type")
+    size = F.when(F.col("p_size") % 3 == 0, F.lit(',\n"')).otherwise(F.col("p_size").cast("string"))
+    folder = work_path(spark, "line breaks")
+    rows = part.select(F.col("p_partkey").alias("Symbol"), note.alias("a note,\nin two lines"), size.alias("Size"), F.col("p_retailprice").alias("Price"))
+    rows.write.option("header", True).option("escape", '"').csv(folder)
+    raw = read_csv(spark, [r["path"] for r in list_files(spark, folder).select("path").collect()])
+    return raw.select(
+        field("Symbol").alias("symbol"), field("a note,\nin two lines").alias("note"), field("Size").alias("size"),
+        field("Price").try_cast("double").alias("price"),
+    )

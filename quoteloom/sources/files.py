@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quoteloom.functions.text import strip
@@ -101,9 +101,8 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFra
 def csv_values(line: Column) -> Column:
     """The fields of a line; quotes around a field go, doubled quotes inside it are one."""
     field = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*)'), 1)
-    unquote = lambda x: F.when(
-        x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))
-    ).otherwise(x)
+    inner = lambda x: F.substring(x, F.lit(2), F.length(x) - F.when(F.length(x) > 1, x.endswith('"').cast("int")).otherwise(0) - 1)
+    unquote = lambda x: F.when(x.startswith('"'), F.replace(inner(x), F.lit('""'), F.lit('"'))).otherwise(x)
     return F.when(line.contains('"'), F.transform(field, unquote)).otherwise(F.split(line, ",", -1))
 
 
@@ -114,18 +113,96 @@ def header_names(line: Column) -> Column:
     return F.transform(names, lambda x, i: F.when(known(x, i), F.concat(F.lit("_c"), i.cast("string"))).otherwise(x))
 
 
+# A comma and the whole field behind it; a field that begins with a quote and has no closing one does not match.
+WHOLE_FIELD = r',(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|(?=,|$))'
+
+
+def _opens(text: Column) -> Column:
+    """Whether a line that begins with a comma ends inside a quoted field."""
+    return F.regexp_replace(text, WHOLE_FIELD, "").startswith(',"')
+
+
+def _quote_states(line: Column) -> tuple[Column, Column]:
+    """State behind a line (1: inside a quoted field) if it begins outside, and if it begins inside one."""
+    from_outside = _opens(F.concat(F.lit(","), line))
+    rest = F.regexp_replace(line, r'^(?:[^"]++|"")*+', "")
+    from_inside = (rest == "") | _opens(F.regexp_replace(rest, r'^"[^,]*+', ""))
+    quoted = line.contains('"')
+    return F.when(quoted, from_outside).otherwise(False).cast("int"), F.when(quoted, from_inside).otherwise(True).cast("int")
+
+
+def _composed(df: DataFrame, window: WindowSpec, zero: str, one: str) -> DataFrame:
+    """Adds what the state functions ``zero, one`` (state behind 0 and 1) do one after another up to each row.
+
+    A function that is constant ends what came before; of the others only swaps change the state. So the state behind
+    a row is that of the newest constant function, or the one at the start, changed by the parity of the swaps since.
+    """
+    swaps = F.sum(((F.col(zero) == 1) & (F.col(one) == 0)).cast("int")).over(window)
+    df = df.withColumn("_swaps", swaps)
+    fixed = F.when(F.col(zero) == F.col(one), F.struct(F.col(zero).alias("state"), F.col("_swaps").alias("swaps")))
+    df = df.withColumn("_fixed", F.last(fixed, ignorenulls=True).over(window))
+    since = F.col("_swaps") - F.coalesce(F.col("_fixed.swaps"), F.lit(0))
+    behind = lambda start: F.pmod(F.coalesce(F.col("_fixed.state"), F.lit(start)) + since, F.lit(2)).cast("int")
+    return df.withColumns({"_behind0": behind(0), "_behind1": behind(1)}).drop("_swaps", "_fixed")
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """Lines ``(path, value, row_order, at)`` as records: a quoted field may go on over several lines.
+
+    Files in which no line ends inside quotes pass as they are. In the others each line is a function from the state
+    before it to the state behind it. Functions are composed inside each split, then over the splits of a file, which
+    gives each split its start; from there lines become records in parallel. Split sizes don't change the result. A
+    quote that is never closed up to the end of its file opens nothing: the lines from its record on stay single.
+    """
+    zero, one = _quote_states(F.col("value"))
+    ragged = stage(lines.where(zero == 1).select("path").distinct(), "ragged")
+    if ragged.isEmpty():
+        return lines
+    inside = Window.partitionBy("path", "at").orderBy("row_order")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    broken = lines.join(ragged, "path", "left_semi").select("*", zero.alias("_0"), one.alias("_1"))
+    broken = _composed(broken, upto, "_0", "_1")
+    begins = {}
+    for k in (0, 1):
+        before = F.coalesce(F.lag(f"_behind{k}").over(inside), F.lit(k))
+        begins[f"_begin{k}"] = F.last(F.when(before == 0, F.col("row_order")), ignorenulls=True).over(upto)
+    broken = broken.withColumns(begins)
+    order = Window.partitionBy("path").orderBy("at")
+    splits = broken.groupBy("path", "at").agg(
+        *[F.max_by(c, "row_order").alias(c) for c in ("_behind0", "_behind1")], *[F.max(c).alias(c) for c in ("_begin0", "_begin1")]
+    )
+    splits = splits.withColumnsRenamed({"_behind0": "_0", "_behind1": "_1"})
+    splits = _composed(splits, order.rowsBetween(Window.unboundedPreceding, Window.currentRow), "_0", "_1")
+    splits = splits.withColumn("_start", F.coalesce(F.lag("_behind0").over(order), F.lit(0)))
+    own = F.when(F.col("_start") == 0, F.col("_begin0")).otherwise(F.col("_begin1"))
+    splits = splits.withColumn("_carried", F.last(own, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    splits = splits.withColumn("_own", F.coalesce(own, "_carried"))
+    ends = splits.groupBy("path").agg(F.max_by("_behind0", "at").alias("_unclosed"), F.max_by("_own", "at").alias("_last"))
+    splits = stage(splits.join(ends, "path").select("path", "at", "_start", "_carried", "_unclosed", "_last"), "splits")
+    placed = broken.join(splits, ["path", "at"])
+    begin = F.when(F.col("_start") == 0, F.col("_begin0")).otherwise(F.col("_begin1"))
+    begin = F.coalesce(begin, "_carried")
+    begin = F.when((F.col("_unclosed") == 1) & (begin >= F.col("_last")), F.col("row_order")).otherwise(begin)
+    parts = placed.select("path", begin.alias("begin"), "at", F.struct("row_order", "value").alias("line"))
+    whole = parts.groupBy("path", "begin").agg(F.min("at").alias("at"), F.sort_array(F.collect_list("line")).alias("lines"))
+    text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
+    whole = whole.select("path", text.alias("value"), F.col("begin").alias("row_order"), "at")
+    return lines.join(ragged, "path", "left_anti").unionByName(whole)
+
+
 def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Rows of files with any mix of headers, as ``fields`` by header name; a missing field is NULL.
 
-    The first line of a file that is not blank is its header, whatever the size of file or header. Lines and
-    headers meet by path: one job for all files, and nothing of them passes through the driver.
+    The first record of a file that is not blank is its header, whatever the size of file or header. Records and
+    headers meet by path: one job for all files, and nothing of them passes through the driver. A quoted field may
+    hold line breaks, see :func:`records`.
     """
     if not paths:
         return empty(spark, CSV_ROWS)
     text = spark.read.text([literal(p) for p in paths]).select(
         file_path().alias("path"), "value", row_order().alias("row_order"), F.col("_metadata.file_block_start").alias("at")
     )
-    text = text.where(F.length(strip(F.col("value"))) > 0)
+    text = records(text).where(F.length(strip(F.col("value"))) > 0)
     first = text.where("at = 0").groupBy("path").agg(
         F.min_by("value", "row_order").alias("header"), F.min("row_order").alias("header_order")
     )
@@ -154,7 +231,14 @@ def field(*names: str) -> Column:
 def columns_of(spark: SparkSession, path: str) -> list[str]:
     """Header names of one file."""
     lines = spark.read.text(literal(path)).where(F.length(strip(F.col("value"))) > 0)
-    line = lines.where("_metadata.file_block_start = 0").limit(1).select(header_names(F.col("value")).alias("names")).first()
+    line = lines.where("_metadata.file_block_start = 0").limit(1).select("value", header_names(F.col("value")).alias("names"))
+    line = line.withColumn("opens", _quote_states(F.col("value"))[0]).first()
+    if line and line["opens"]:  # the header goes on in the next line
+        text = spark.read.text(literal(path)).select(
+            file_path().alias("path"), "value", row_order().alias("row_order"), F.col("_metadata.file_block_start").alias("at")
+        )
+        first = records(text).where(F.length(strip(F.col("value"))) > 0).orderBy("row_order").limit(1)
+        line = first.select(header_names(F.col("value")).alias("names")).first()
     return line["names"] if line else []
 
 
