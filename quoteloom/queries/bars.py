@@ -17,9 +17,12 @@ from quoteloom.operators.coverage import latest_dates, status_counts, written_co
 from quoteloom.operators.dedup import keep_first, keep_last
 from quoteloom.operators.info import with_attributes
 from quoteloom.operators.trailing import average_volume, high_low, moving_averages, trading_snapshot
+from quoteloom.operators.trailing_state import STATE, advance
 from quoteloom.operators.universe import restrict
+from quoteloom.plans.ticks import read_tick_bars, run_ticks
 from quoteloom.queries import inputs as i
 from quoteloom.queries.registry import query
+from quoteloom.session import stage, work_path
 
 
 @query("bars_from_ticks", "R1 M1", f"WITH {i.DAILY_SQL} SELECT * FROM daily")
@@ -307,3 +310,72 @@ def run_status_counts(spark, sf):
         F.when(F.col("event_type") == "error", "rejected").when(F.col("size") > 50, "updated").otherwise("skipped")
     )
     return status_counts(i.ticks(spark, sf), status)
+
+
+@query(
+    "high_low_3y",
+    "R4",
+    f"""WITH {i.PART_BARS_SQL}
+    SELECT symbol, date, max(high) OVER w AS high_52w, min(low) OVER w AS low_52w FROM part_bars
+    WINDOW w AS (PARTITION BY symbol ORDER BY date RANGE BETWEEN INTERVAL 1094 DAY PRECEDING AND CURRENT ROW)""",
+)
+def high_low_3y(spark, sf):
+    """Extrema of three years: a longer span costs the same."""
+    return high_low(i.part_bars(spark, sf), 1095)
+
+
+@query(
+    "snapshot_of_two_sources",
+    "R3 R4 R5",
+    f"WITH {i.SUPPLIER_BARS_SQL}, {_SNAPSHOT_SQL.format(bars='supplier_bars')} SELECT * FROM snapshot",
+)
+def snapshot_of_two_sources(spark, sf):
+    """Every bar stands there from two sources; the first source's count, once a day."""
+    bars = i.supplier_bars(spark, sf)
+    other = bars.withColumns({c: F.col(c) * 2 for c in ("open", "high", "low", "close")}).withColumn("source", F.lit("bulk"))
+    return trading_snapshot(other.unionByName(bars.withColumn("source", F.lit("history"))))
+
+
+@query(
+    "trailing_increments",
+    "R3 R5",
+    f"""WITH {i.SUPPLIER_BARS_SQL} SELECT symbol, date, close, volume, {_mean_sql(50)}, {_mean_sql(200)},
+      CAST(sum(volume) OVER w AS DOUBLE) / CAST(count(*) OVER w AS DOUBLE) AS avg_volume_10
+    FROM supplier_bars WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+)
+def trailing_increments(spark, sf):
+    """All bars in three deliveries by date, and every ninth day of them late: the state gives what history would."""
+    bars = stage(i.supplier_bars(spark, sf).select("symbol", "date", "close", "volume"), "bars")
+    late = F.pmod(F.unix_date("date"), F.lit(9)) == 4
+    cuts = [F.col("date") < "1994-01-01", (F.col("date") >= "1994-01-01") & (F.col("date") < "1997-01-01"), F.col("date") >= "1997-01-01"]
+    state, values, before = spark.createDataFrame([], STATE), None, None
+    for delivered in [bars.where(cut & ~late) for cut in cuts] + [bars.where(late)]:
+        old = before if before is not None else bars.limit(0)
+        now, state = advance(state, old, delivered)
+        now, state = stage(now, "values"), stage(state, "state")
+        values = now if values is None else values.join(now, ["symbol", "date"], "left_anti").unionByName(now)
+        before = delivered if before is None else before.unionByName(delivered)
+    return values
+
+
+def _ticks_sql(unit: str) -> str:
+    if unit == "day":
+        return f"WITH {i.DAILY_SQL} SELECT * FROM daily"
+    return f"""WITH {i.DAILY_SQL} SELECT symbol, CAST(date_trunc('{unit}', date) AS DATE) AS date, arg_min(open, date) AS open,
+      max(high) AS high, min(low) AS low, arg_max(close, date) AS close, CAST(sum(volume) AS BIGINT) AS volume
+    FROM daily GROUP BY symbol, date_trunc('{unit}', date)"""
+
+
+def _add_deliveries(unit: str) -> None:
+    @query(f"tick_deliveries_{unit}", "R1 R2 U1", _ticks_sql(unit))
+    def build(spark, sf, unit=unit):
+        """Ticks in three deliveries that cut through days, one of them run twice."""
+        path = work_path(spark, "tick-bars")
+        ticks = i.ticks(spark, sf).withColumn("k", F.pmod(F.col("seq"), F.lit(3)))
+        for k in (2, 0, 1, 0):
+            run_ticks(ticks.where(F.col("k") == k), path, f"delivery-{k}", "price", "size", i.tick_order())
+        return read_tick_bars(spark, path, unit)
+
+
+for _unit in ("day", "week", "month"):
+    _add_deliveries(_unit)
