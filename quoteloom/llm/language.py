@@ -3,7 +3,7 @@
 Learning counts letter bigrams and trigrams (hashed) per language over labelled texts. A word's likelihood in each
 language is the tempered product over its letters; a text is a mixture of languages, each word coming from one of
 them. Expectation-maximisation gives the shares. From the set of all languages the one with the smallest share is
-taken out again and again, and the set with the best likelihood less half a logarithm of the word count for each
+taken out again and again down to a single one, and of all these sets the one with the best likelihood less half a logarithm of the word count for each
 language stays. The prediction is the language with the largest share, the score is that share.
 
 Learning takes about ``max_docs`` texts of each language (those whose hashed id falls below a share of the
@@ -28,6 +28,8 @@ from quoteloom.llm.common import chunks, segment_ids, small_batches
 
 BUCKETS = 1 << 16  # for each of the two orders
 UNKNOWN = "und"
+# Languages that can be learned: each takes 512 KB in the driver and in every task.
+MAX_LANGUAGES = 256
 
 
 @dataclass
@@ -63,7 +65,7 @@ def letters(texts: list[str]) -> Letters:
     return Letters(trigrams, bigrams, word_starts, words)
 
 
-def mixtures(word_logs: np.ndarray, words: np.ndarray, max_languages: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def mixtures(word_logs: np.ndarray, words: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """Shares ``(texts, languages)`` of the chosen set, and its penalised log-likelihood.
 
     ``word_logs`` are log-likelihoods ``(all words, languages)``; ``words`` counts them for each text, 1 at least.
@@ -75,8 +77,7 @@ def mixtures(word_logs: np.ndarray, words: np.ndarray, max_languages: int, round
     n_languages = likely.shape[1]
     shares = np.full((len(words), n_languages), 1 / n_languages, dtype=likely.dtype)
     best, best_value = shares, np.full(len(words), -np.inf)
-    sizes = [n_languages, *range(min(n_languages - 1, max_languages), 0, -1)]
-    for size in sizes:
+    for size in range(n_languages, 0, -1):
         if size < n_languages:
             keep = np.argsort(-shares, axis=1, kind="stable")[:, :size]
             mask = np.zeros_like(shares)
@@ -89,7 +90,7 @@ def mixtures(word_logs: np.ndarray, words: np.ndarray, max_languages: int, round
             shares = np.add.reduceat(part, starts, axis=0) / words[:, None]
         total = np.log(np.maximum((likely * shares[text]).sum(axis=1), 1e-30))
         value = np.add.reduceat(total, starts) - 0.5 * size * np.log(words + 1)
-        better = (value > best_value) & (size <= max_languages)
+        better = value > best_value
         best = np.where(better[:, None], shares, best)
         best_value = np.where(better, value, best_value)
     return best, best_value
@@ -127,7 +128,6 @@ def identify_languages(
     df: DataFrame,
     labelled: DataFrame,
     max_docs: int = 2000,
-    max_languages: int = 3,
     rounds: int = 6,
     temper: float = 0.4,
     id_col: str = "doc_id",
@@ -136,12 +136,15 @@ def identify_languages(
 ) -> DataFrame:
     """``(id, lang, score, langs, shares)`` of every row of ``df``, learned from the rows of ``labelled``.
 
-    ``langs`` and ``shares`` give the chosen set, largest share first; at most ``max_languages`` of them.
+    ``langs`` and ``shares`` give the chosen set, largest share first. More than ``MAX_LANGUAGES`` different values of
+    the language column are an error.
     """
     small_batches(df)
     spark = df.sparkSession
     known = labelled.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    counts = dict(known.groupBy(lang_col).count().collect())
+    counts = dict(known.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect())
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn; put spellings of one language together first")
     languages = sorted(counts)
     rate: Column = F.lit(0)
     for name in languages:
@@ -162,8 +165,8 @@ def identify_languages(
                     table = logs.value
                     by_letter = table[found.trigrams] + table[found.bigrams]
                     word_logs = np.add.reduceat(by_letter, found.word_starts, axis=0) * np.float32(temper)
-                    shares, _ = mixtures(word_logs, found.words[has], max_languages, rounds)
-                    ranked = np.argsort(-shares, axis=1, kind="stable")[:, :max_languages].tolist()
+                    shares, _ = mixtures(word_logs, found.words[has], rounds)
+                    ranked = np.argsort(-shares, axis=1, kind="stable").tolist()
                     for k, order, row in zip(has.tolist(), ranked, shares.tolist()):
                         chosen = [x for x in order if row[x] > 0]
                         preds[k], scores[k] = languages[chosen[0]], min(1.0, row[chosen[0]])
