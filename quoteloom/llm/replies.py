@@ -51,6 +51,28 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(F.replace(role, F.lit("%5D"), F.lit("]")), F.lit("%0A"), F.lit("\n")))
 
 
+def _doubled(jump: DataFrame) -> DataFrame:
+    """Jumps of twice the length; nodes that would leave the tree are gone."""
+    further = jump.withColumnsRenamed({"node": "start", "above": "node"}).join(jump.select("tree", "node", "above"), ["tree", "node"])
+    return further.drop("node").withColumnRenamed("start", "node")
+
+
+def lost_nodes(jump: DataFrame, sizes: DataFrame) -> DataFrame | None:
+    """``(tree, node)`` of the nodes on a cycle of parents or below one; None without any.
+
+    Parents are jumped over in doubling steps, nodes alone. A node that still jumps after as many steps as its tree
+    has nodes never reaches a root; it leaves the table of jumps then, so one bad tree costs no more rounds than its own
+    size asks for.
+    """
+    jump, reach, lost = stage(jump.join(sizes, "tree"), "jump-alone"), 1, None
+    while not jump.isEmpty():
+        over = F.col("size") <= reach
+        bad = stage(jump.where(over).select("tree", "node"), "lost")
+        lost = bad if lost is None else lost.unionByName(bad)
+        jump, reach = stage(_doubled(jump.where(~over)), "jump-alone"), 2 * reach
+    return lost if lost is not None and not lost.isEmpty() else None
+
+
 def paths(nodes: DataFrame) -> DataFrame:
     """``(tree, leaf, node, up)`` for every leaf with a root above it: all nodes of its path, ``up`` steps above.
 
@@ -61,18 +83,17 @@ def paths(nodes: DataFrame) -> DataFrame:
     jump = stage(known.select("tree", "node", F.col("parent").alias("above")), "jump")
     inner = jump.select("tree", F.col("above").alias("node")).distinct()
     leaves = nodes.select("tree", "node").join(inner, ["tree", "node"], "left_anti")
+    lost = lost_nodes(jump, nodes.groupBy("tree").agg(F.count("*").alias("size")))
+    if lost is not None:
+        jump = stage(jump.join(lost, ["tree", "node"], "left_anti"), "jump")
+        leaves = leaves.join(lost, ["tree", "node"], "left_anti")
     walks = stage(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), "walks")
-    reach, left = 1, nodes.count()
-    while left >= reach and not jump.isEmpty():
+    reach = 1
+    while not jump.isEmpty():
         step = walks.join(jump, ["tree", "node"])
         step = step.select("tree", "leaf", F.col("above").alias("node"), (F.col("up") + reach).alias("up"))
-        walks = stage(walks.union(step), "walks")
-        further = jump.select("tree", F.col("node").alias("start"), F.col("above").alias("node")).join(jump, ["tree", "node"])
-        jump = stage(further.select("tree", F.col("start").alias("node"), "above"), "jump")
-        reach *= 2
-    # What still jumps after more steps than there are nodes is on a cycle or below one, and so are its leaves.
-    lost = walks.join(jump, ["tree", "node"], "left_semi").select("tree", "leaf").distinct()
-    return walks.join(lost, ["tree", "leaf"], "left_anti")
+        walks, jump, reach = stage(walks.union(step), "walks"), stage(_doubled(jump), "jump"), 2 * reach
+    return walks
 
 
 def format_conversations(

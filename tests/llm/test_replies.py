@@ -63,3 +63,18 @@ def test_query(spark, sf_dir):
         loss = "".join(t for _, role, t in rows if role == "assistant")
         want.add((conv, len(rows), sha("".join(f"{r}\n{t}\n" for _, r, t in rows)), len(loss), sha(loss)))
     assert {tuple(r)[:5] for r in QUERIES["op3_reply_trees"](spark, sf_dir).collect()} == want
+
+
+def test_a_cycle_beside_many_trees_costs_nothing(spark):
+    trees = spark.range(3000).select(F.col("id").alias("tree"), F.explode(F.array(F.lit(1), F.lit(2))).alias("node"))
+    trees = trees.withColumn("parent", F.when(F.col("node") == 2, 1))
+    cycle = [(-1, 1, 2), (-1, 2, 1)] + [(-1, 10 + k, 1) for k in range(20)] + [(-1, 50, None), (-1, 51, 50)]
+    nodes = trees.unionByName(spark.createDataFrame(cycle, "tree long, node int, parent int"))
+    found = paths(nodes)
+    assert found.count() == 2 * 3001 and found.where("tree = -1").count() == 2
+
+
+def test_long_chain(spark):
+    rows = [(1, k, k - 1 if k else None) for k in range(70)] + [(1, 200, 201), (1, 201, 200)]
+    found = paths(spark.createDataFrame(rows, "tree long, node long, parent long")).collect()
+    assert sorted((r.leaf, r.node, r.up) for r in found) == [(69, k, 69 - k) for k in range(70)]
