@@ -5,7 +5,8 @@ before a small letter) by typed placeholders and lower-cases the rest. Each wind
 template is found in a text by a hash join on its anchor, the window's word that is rarest in the benchmark; the whole
 template window is then compared. Matches of an item that lie at one distance from their places in the item form an
 alignment. The values that its placeholders take in text and item must correspond one to one, type by type; so a
-question that got other numbers or names is found, and a chance mixture is not. An item counts as contained when
+question that got other numbers or names is found, and a chance mixture is not; where they contradict each other, only
+windows whose values are all the item's own count. An item counts as contained when
 consistent alignments cover at least ``min_share`` of its words.
 
 Only words that are some window's anchor, beside the right neighbours, leave the scan. The window table is broadcast when it has at most
@@ -147,14 +148,21 @@ def contained_items(
         lambda s: is_slot(s["kind"]),
     )
     found = found.select("id", "item_id", "n_words", "length", "shift", "item_pos", slots.alias("slots"))
+    found = found.withColumn("same", F.forall("slots", lambda s: F.lower(s["theirs"]) == F.lower(s["ours"])))
     lines = found.groupBy("id", "item_id", "n_words", "shift").agg(
-        F.collect_set(F.struct("item_pos", "length")).alias("places"),
+        F.collect_set(F.struct("item_pos", "length", "same")).alias("places"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.col("same"), F.col("slots"))))).alias("same_slots"),
     )
-    pairs = F.size("slots")
     theirs = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"]))))
     ours = F.size(F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["ours"]))))
-    lines = lines.where((pairs == theirs) & (pairs == ours))
+    agree = (F.size("slots") == theirs) & (F.size("slots") == ours)
+    lines = lines.select(
+        "id", "item_id", "n_words",
+        F.when(agree, F.col("places")).otherwise(F.filter("places", lambda p: p["same"])).alias("places"),
+        F.when(agree, F.col("slots")).otherwise(F.col("same_slots")).alias("slots"),
+    ).where(F.size("places") > 0)
+    pairs = F.size("slots")
     changed = F.size(F.filter("slots", lambda s: F.lower(s["theirs"]) != F.lower(s["ours"])))
     covered = F.flatten(F.transform("places", lambda p: F.sequence(p["item_pos"], p["item_pos"] + p["length"] - 1)))
     lines = lines.select("id", "item_id", "n_words", covered.alias("covered"), pairs.alias("n_slots"), changed.alias("n_changed"))

@@ -44,6 +44,13 @@ def test_slots_must_agree(spark, frame):
     assert got == {0, 1}
 
 
+def test_contradiction_leaves_the_unchanged_windows(spark, frame):
+    item = "Put 5 red boxes on the shelf by the old harbor gate and then carry 5 blue ones to the mill behind the church at noon."
+    edited = item.replace("carry 5", "carry 6")
+    got = {r.id: r for r in contained_items(frame([item, edited]), items(spark, item)).collect()}
+    assert set(got) == {0, 1} and got[1].n_changed == 0 and 0.5 <= got[1].share < 1
+
+
 def test_short_item_repeats_and_clashes(spark, frame):
     df = frame([(1, "Yes, alpha beta gamma it is"), (1, "Yes, alpha beta gamma it is"), (None, "alpha beta gamma"), (3, "alpha gamma beta")])
     odd = df.withColumn("w", F.lit(1)).withColumn("item_id", F.lit(2)).withColumn("pos", F.lit(3)).withColumn("id", F.lit(4))
