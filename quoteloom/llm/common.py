@@ -64,3 +64,27 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Position of each unsigned hash in a filter of so many bits, a power of two: its upper bits."""
+    return (hashes >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+
+
+def has_places(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the filter has each position."""
+    return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def bit_filter(hashes: DataFrame, bits: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """Filter of the 64-bit hashes in column ``h``, packed: positions ``lo`` to ``hi`` of ``bits``."""
+    hi = bits if hi is None else hi
+    place = F.shiftrightunsigned("h", 65 - bits.bit_length())
+    marked = hashes.select(place.alias("p")).where((F.col("p") >= lo) & (F.col("p") < hi)).select((F.col("p") - lo + 1).alias("p"))
+    parts = marked.groupBy(F.bitmap_bucket_number("p").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    whole = np.zeros((hi - lo) // 8, dtype=np.uint8)
+    for part, data in parts.collect():  # (hi - lo) / 8 bytes in all
+        start = (part - 1) * 4096
+        found = np.frombuffer(bytes(data), np.uint8)
+        whole[start : start + 4096] = found[: len(whole) - start]
+    return whole
