@@ -26,11 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quoteloom.llm.common import mixed, small_batches
+from quoteloom.llm.common import bit_filter, has_places, mixed, places, small_batches
 from quoteloom.session import stage
 
 SEED = 42
@@ -90,30 +91,7 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return mixed(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
-def _has(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether the filter has each position."""
-    return ((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
-
-
-def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(65 - bits.bit_length())).astype(np.int64)
-
-
-def _filter(hashes: DataFrame, bits: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
-    """Bits ``lo`` to ``hi`` of the filter of column ``h``, packed; at most ``MAX_FILTER_BITS``."""
-    hi = bits if hi is None else hi
-    place = F.shiftrightunsigned("h", 65 - bits.bit_length())
-    marked = hashes.select(place.alias("p")).where((F.col("p") >= lo) & (F.col("p") < hi)).select((F.col("p") - lo + 1).alias("p"))
-    parts = marked.groupBy(F.bitmap_bucket_number("p").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
-    whole = np.zeros((hi - lo) // 8, dtype=np.uint8)
-    for part, data in parts.collect():  # (hi - lo) / 8 bytes at most
-        data = np.frombuffer(bytes(data), np.uint8)
-        start = (part - 1) * 4096
-        whole[start : start + 4096] = data[: len(whole) - start]
-    return whole
-
-
-def _filter_size(n: int) -> int:
+def filter_size(n: int) -> int:
     return max(MIN_FILTER_BITS, 1 << max(0, BITS_EACH * n - 1).bit_length())
 
 
@@ -136,7 +114,7 @@ def prefix_counts(rows: DataFrame, words_filter, bits: int, heavy) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids in word_chunks(batches):
             hashes = word_hashes(lang, words)
-            often = _has(words_filter.value, _places(hashes, bits))
+            often = has_places(words_filter.value, places(hashes, bits))
             often[:2] = False
             good = often[ids]
             pair = np.flatnonzero(good[:-1] & good[1:])
@@ -170,20 +148,20 @@ class Grouping:
 
 
 def suffixes(rows: DataFrame, words_filter, bits: int, prefixes_filter, prefix_bits: int, span: tuple[int, int], grouping, depth: int) -> DataFrame:
-    """``(g, lang, phrase, first, f)``: suffixes of a group, cut, with their number; they count from ``first`` words on."""
+    """``(g, lang, phrase, words, first, f)``: suffixes of a group, cut, with their number; they count from ``first`` words on."""
     lo, hi = span
     whole = hi - lo == prefix_bits
 
     def cut(lang: str, words: list[bytes], ids: np.ndarray) -> pa.RecordBatch | None:
         hashes = word_hashes(lang, words)
-        often = _has(words_filter.value, _places(hashes, bits))
+        often = has_places(words_filter.value, places(hashes, bits))
         often[:2] = False
         good = often[ids]
         at = np.flatnonzero(good[:-1] & good[1:])
         two = joined(hashes[ids[at]], hashes[ids[at + 1]])
-        place = _places(two, prefix_bits)
+        place = places(two, prefix_bits)
         mine = (place >= lo) & (place < hi)
-        mine[mine] = _has(prefixes_filter.value, place[mine] - lo)
+        mine[mine] = has_places(prefixes_filter.value, place[mine] - lo)
         follows = np.zeros(len(ids) + depth, dtype=bool)  # the pair that begins here can be part of a phrase
         follows[at] = mine if whole else True
         at, two = at[mine], two[mine]
@@ -214,17 +192,19 @@ def suffixes(rows: DataFrame, words_filter, bits: int, prefixes_filter, prefix_b
             new[1:] |= c[1:] != c[:-1]
         heads = np.flatnonzero(new)
         counts = np.diff(np.append(heads, len(at)))
-        names = [[words[k] for k in c[heads].tolist()] for c in columns]
-        phrases = [b" ".join(parts[:n]) for n, *parts in zip(length[heads].tolist(), *names)]
+        known = pa.array(words, pa.binary()).cast(pa.string())
+        missing = [length[heads] <= d for d in range(depth)]
+        parts = [known.take(pa.array(c[heads], mask=gone)) for c, gone in zip(columns, missing)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(groups[heads], pa.int32()),
-                pa.array([lang] * len(heads), pa.string()),
-                pa.array(phrases, pa.binary()).cast(pa.string()),
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(heads), dtype=np.int32))),
+                pc.binary_join_element_wise(*parts, " ", null_handling="skip"),
+                pa.array(length[heads], pa.int32()),
                 pa.array(first[heads], pa.int32()),
                 pa.array(counts, pa.int64()),
             ],
-            ["g", "lang", "phrase", "first", "f"],
+            ["g", "lang", "phrase", "words", "first", "f"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,19 +212,24 @@ def suffixes(rows: DataFrame, words_filter, bits: int, prefixes_filter, prefix_b
             if (out := cut(lang, words, ids)) is not None:
                 yield from pa.Table.from_batches([out]).to_batches(max_chunksize=50_000)
 
-    return rows.mapInArrow(run, "g int, lang string, phrase string, first int, f long")
+    return rows.mapInArrow(run, "g int, lang string, phrase string, words int, first int, f long")
 
 
-def subtree_counts(langs: list[str], phrases: list[str], first: np.ndarray, f: np.ndarray, depth: int, least: int) -> list[tuple[str, str, int, int]]:
+def subtree_counts(suffixes: pa.Table, depth: int, least: int) -> list[tuple[str, str, int, int]]:
     """``(lang, phrase, words, count)`` of the nodes from two words on with at least ``least`` leaves below."""
-    numbers, split = _Numbers(), [p.split(" ") for p in phrases]
-    table = np.zeros((depth, len(split)), dtype=np.int64)
-    length = np.array([len(s) for s in split])
+    length, first, f = (suffixes[c].to_numpy() for c in ("words", "first", "f"))
+    tongues = suffixes["lang"].combine_chunks().dictionary_encode()
+    tongue = tongues.indices.to_numpy()
+    tokens = " ".join(suffixes["phrase"].to_pylist()).split(" ")
+    numbers = _Numbers()
+    ids = np.fromiter(map(numbers.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+    table = np.zeros((depth, len(length)), dtype=np.int64)
+    starts = np.cumsum(length) - length
     for d in range(depth):
-        table[d] = [numbers[s[d]] + 1 if len(s) > d else 0 for s in split]
-    tongue = np.unique(np.array(langs, dtype=object).astype(str), return_inverse=True)[1]
+        has = length > d
+        table[d, has] = ids[starts[has] + d] + 1
     order = np.lexsort((*table[::-1], tongue))  # the sorted suffixes; a node is a run with equal first words
-    out = []
+    names, langs, out = list(numbers), tongues.dictionary.to_pylist(), []
     for d in range(2, depth + 1):
         rows = order[length[order] >= d]
         if not len(rows):
@@ -253,16 +238,15 @@ def subtree_counts(langs: list[str], phrases: list[str], first: np.ndarray, f: n
         heads = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
         totals = np.add.reduceat(np.where(first[rows] <= d, f[rows], 0), heads)
         for k in np.flatnonzero(totals >= least).tolist():
-            row = int(rows[heads[k]])
-            out.append((langs[row], " ".join(split[row][:d]), d, int(totals[k])))
+            row = rows[heads[k]]
+            out.append((langs[tongue[row]], " ".join(names[x - 1] for x in table[:d, row].tolist()), d, int(totals[k])))
     return out
 
 
 def _counted(rows: DataFrame, groups: int, depth: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t = pa.Table.from_batches(held)
-            found = subtree_counts(t["lang"].to_pylist(), t["phrase"].to_pylist(), t["first"].to_numpy(), t["f"].to_numpy(), depth, least)
+            found = subtree_counts(pa.Table.from_batches(held), depth, least)
             columns = zip(*found) if found else [[]] * 4
             kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["lang", "phrase", "words", "f"])
@@ -295,8 +279,8 @@ def phrase_counts(df: DataFrame, least: int = 30, depth: int = 4, lang_col: str
     rows = df.where(F.length(text_col) > 0).select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     words = stage(word_counts(rows), "words")
     often = words.where(F.col("f") >= least)
-    bits = min(MAX_FILTER_BITS, _filter_size(often.count()))
-    words_filter = context.broadcast(_filter(often.select(F.xxhash64("lang", "word").alias("h")), bits))
+    bits = min(MAX_FILTER_BITS, filter_size(often.count()))
+    words_filter = context.broadcast(bit_filter(often.select(F.xxhash64("lang", "word").alias("h")), bits))
 
     two = stage(prefix_counts(rows, words_filter, bits, None).where(F.col("f") >= least), "prefixes")
     n_two, total = two.agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0))).first()
@@ -316,11 +300,11 @@ def phrase_counts(df: DataFrame, least: int = 30, depth: int = 4, lang_col: str
         load[k] = n
     grouping = context.broadcast(Grouping(heavy_two, heavy_three, load, budget))
 
-    prefix_bits = _filter_size(n_two)
+    prefix_bits = filter_size(n_two)
     found = None
     for lo in range(0, prefix_bits, MAX_FILTER_BITS):
         hi = min(prefix_bits, lo + MAX_FILTER_BITS)
-        prefixes_filter = context.broadcast(_filter(two.select("h"), prefix_bits, lo, hi))
+        prefixes_filter = context.broadcast(bit_filter(two.select("h"), prefix_bits, lo, hi))
         cut = suffixes(rows, words_filter, bits, prefixes_filter, prefix_bits, (lo, hi), grouping, depth)
         part = stage(_counted(cut, partitions, depth, least), "phrases")
         found = part if found is None else found.unionByName(part)

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,6 @@ def test_numbers_and_hashes(spark):
 
 def test_subtree_reads_counts_from_leaves():
     phrases = ["a b", "a b c", "a b c d", "a b d", "a b d e"]
-    first, f = np.array([2, 2, 2, 3, 4]), np.array([1, 2, 3, 10, 100])
-    found = subtree_counts(["en"] * 5, phrases, first, f, 4, 1)
+    rows = {"lang": ["en"] * 5, "phrase": phrases, "words": [2, 3, 4, 3, 4], "first": [2, 2, 2, 3, 4], "f": [1, 2, 3, 10, 100]}
+    found = subtree_counts(pa.table(rows), 4, 1)
     assert sorted(found) == [("en", "a b", 2, 6), ("en", "a b c", 3, 5), ("en", "a b c d", 4, 3), ("en", "a b d", 3, 10), ("en", "a b d e", 4, 100)]
