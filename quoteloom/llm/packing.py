@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from quoteloom.llm.common import small_batches
 
 # Entries of the cache of encoded words in each Python worker.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 # Left-over pieces that a task holds before it fills sequences from them.
 POOL = 1024
 # A task numbers its sequences from its partition's number shifted by so many bits.
