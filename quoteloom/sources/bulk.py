@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quoteloom.functions.dates import file_date
@@ -13,7 +13,7 @@ from quoteloom.functions.text import number, parses_or_missing, whole
 from quoteloom.operators.dedup import keep_last
 from quoteloom.schemas import BULK_COLUMNS, empty
 from quoteloom.session import stage
-from quoteloom.sources.files import field, list_files, read_csv
+from quoteloom.sources.files import field, file_path, list_files, name_of, read_csv, read_csv_folder
 
 # Above any row position inside one file, see ``row_order``; leaves room for 10**14 files of one date.
 FILE_STEP = "1000000000000000000000000"
@@ -69,11 +69,30 @@ def bulk_rows(raw: DataFrame) -> DataFrame:
 
 
 def read_bulk(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Valid rows of several files; a file without the needed columns gives none.
+    """Valid rows of several files, see :func:`rows_of_files`."""
+    return rows_of_files(read_csv(spark, paths))
+
+
+def read_bulk_folder(spark: SparkSession, folder: str, where: Column | None = None, only: DataFrame | None = None) -> DataFrame:
+    """As :func:`read_bulk` for all dated files of a folder, or those of them that ``where`` and ``only`` keep.
+
+    Files without a date in their name are left out by name, before they are read.
+    """
+    dated = scanned_date().isNotNull()
+    return rows_of_files(read_csv_folder(spark, folder, dated if where is None else dated & where, only))
+
+
+def scanned_date() -> Column:
+    """Date in the name of the scanned file."""
+    return file_date(name_of(file_path()))
+
+
+def rows_of_files(raw: DataFrame) -> DataFrame:
+    """Valid rows; a file without the needed columns gives none.
 
     ``file_no`` ranks the files by name among those of the same date.
     """
-    raw = has_bulk_columns(read_csv(spark, paths)).withColumn("date", file_date(F.col("file_name")))
+    raw = has_bulk_columns(raw).withColumn("date", file_date(F.col("file_name")))
     text = [field(header).alias(header) for header, _ in BULK_COLUMNS]
     rows = bulk_rows(raw.select("date", "file_name", "row_order", *text))
     return numbered(rows)

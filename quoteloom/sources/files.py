@@ -190,18 +190,43 @@ def records(lines: DataFrame) -> DataFrame:
     return lines.join(ragged, "path", "left_anti").unionByName(whole)
 
 
+def lines_of(text: DataFrame) -> DataFrame:
+    """Scanned text lines with the places that :func:`csv_rows` needs."""
+    return text.select(
+        file_path().alias("path"), "value", row_order().alias("row_order"), F.col("_metadata.file_block_start").alias("at")
+    )
+
+
 def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows of files with any mix of headers, as ``fields`` by header name; a missing field is NULL.
+    """Rows of a few files, see :func:`csv_rows`."""
+    if not paths:
+        return empty(spark, CSV_ROWS)
+    return csv_rows(lines_of(spark.read.text([literal(p) for p in paths])))
+
+
+def read_csv_folder(
+    spark: SparkSession, folder: str, where: Column | None = None, only: DataFrame | None = None, glob: str = "*.csv"
+) -> DataFrame:
+    """Rows of the files of a folder as one scan; their paths never pass through the driver's program.
+
+    ``where`` is a condition on ``_metadata`` alone, by which Spark leaves files out before it reads them; ``only`` has
+    the column ``path`` of the files that are kept besides.
+    """
+    pattern = f"{literal(folder.rstrip('/'))}/{glob}"
+    if not exists(spark, pattern):
+        return empty(spark, CSV_ROWS)
+    text = spark.read.text(pattern)
+    lines = lines_of(text if where is None else text.where(where))
+    return csv_rows(lines if only is None else lines.join(only.select("path"), "path", "left_semi"))
+
+
+def csv_rows(text: DataFrame) -> DataFrame:
+    """Rows of files with any mix of headers, as ``fields`` by header name; a missing field is NULL.
 
     The first record of a file that is not blank is its header, whatever the size of file or header. Records and
     headers meet by path: one job for all files, and nothing of them passes through the driver. A quoted field may
     hold line breaks, see :func:`records`.
     """
-    if not paths:
-        return empty(spark, CSV_ROWS)
-    text = spark.read.text([literal(p) for p in paths]).select(
-        file_path().alias("path"), "value", row_order().alias("row_order"), F.col("_metadata.file_block_start").alias("at")
-    )
     text = records(text).where(F.length(strip(F.col("value"))) > 0)
     first = text.where("at = 0").groupBy("path").agg(
         F.min_by("value", "row_order").alias("header"), F.min("row_order").alias("header_order")

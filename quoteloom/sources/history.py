@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quoteloom.functions.dates import stored_day, zone_suffix
 from quoteloom.functions.text import blank_to_null, number, whole
 from quoteloom.schemas import BARS, STATEMENTS
-from quoteloom.sources.files import columns_of, field, list_files, read_csv, read_partitions, read_table
+from quoteloom.sources.files import columns_of, field, read_csv, read_csv_folder, read_partitions, read_table
 
 
 def read_bars(spark: SparkSession, path: str, interval: str | None = None) -> DataFrame:
@@ -23,8 +23,7 @@ def read_history_folder(spark: SparkSession, folder: str) -> DataFrame:
 
     The date is read as text and kept next to its calendar day (B5); the symbol is the file name.
     """
-    paths = [r["path"] for r in list_files(spark, folder).select("path").collect()]
-    raw, text = read_csv(spark, paths), field
+    raw, text = read_csv_folder(spark, folder), field
     return raw.select(
         F.regexp_replace("file_name", r"\.csv$", "").alias("symbol"),
         stored_day(text("Date")).alias("date"),
@@ -47,8 +46,7 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dated_folder(spark: SparkSession, folder: str) -> DataFrame:
     """M3: CSV files of one date each, all symbols in each, as long bars with ``pos``."""
-    paths = [r["path"] for r in list_files(spark, folder).select("path").collect()]
-    raw, text = read_csv(spark, paths), field
+    raw, text = read_csv_folder(spark, folder), field
     return raw.select(
         stored_day(text("Date")).alias("date"),
         blank_to_null(text("Symbol", "ticker")).alias("symbol"),
