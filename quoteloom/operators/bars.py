@@ -92,8 +92,9 @@ def wide_to_long(wide: DataFrame, date_col: str = "Date", sep: str = ":", symbol
     """One landed frame with symbol and field in the column names to one bar per row.
 
     The symbols are known from the column names, so each row is turned into an array of bars and
-    inlined: no pivot and no shuffle. A frame of plain field columns belongs to the one ``symbol``.
-    Bars without Close are dropped.
+    inlined: no pivot and no shuffle. There is one array of names and one of values for each field, whatever the
+    number of symbols; the column names go into them as one text each, so thousands of symbols plan in seconds.
+    A frame of plain field columns belongs to the one ``symbol``. Bars without Close are dropped.
     """
     found: dict[str, dict[str, str]] = {}
     for name in wide.columns:
@@ -107,16 +108,24 @@ def wide_to_long(wide: DataFrame, date_col: str = "Date", sep: str = ":", symbol
     if not found:
         raise ValueError("no column names of the form SYM:Field or Field:SYM")
 
-    def bar(sym: str, fields: dict[str, str]) -> Column:
-        values = [
-            (F.col(f"`{fields[f]}`") if f in fields else F.lit(None)).cast("double").alias(out)
-            for f, out in WIDE_FIELDS.items()
-        ]
-        return F.struct(F.lit(sym).alias("symbol"), *values)
+    values = {}
+    for field, out in WIDE_FIELDS.items():
+        names = [fields.get(field) for fields in found.values()]
+        values[out] = F.expr(f"array({', '.join(map(_quoted, names))})" if any(names) else f"array_repeat(CAST(NULL AS DOUBLE), {len(names)})")
+    rows = wide.select(F.col(_quoted(date_col)).cast("date").alias("date"), _texts(list(found)).alias("symbol"), *[v.alias(c) for c, v in values.items()])
+    rows = rows.select("date", "symbol", *[F.col(c).cast("array<double>").alias(c) for c in values])
+    return drop_without_close(rows.select("date", F.inline(F.arrays_zip("symbol", *values))))
 
-    rows = F.array(*[bar(s, f) for s, f in found.items()])
-    long = wide.select(F.col(f"`{date_col}`").cast("date").alias("date"), F.inline(rows))
-    return drop_without_close(long)
+
+def _quoted(name: str | None) -> str:
+    return "NULL" if name is None else f"`{name.replace('`', '``')}`"
+
+
+def _texts(values: list[str]) -> Column:
+    """An array of texts: one literal that is split at line breaks, unless a text has one."""
+    if any("\n" in v for v in values):
+        return F.array(*[F.lit(v) for v in values])
+    return F.split(F.lit("\n".join(values)), "\n", -1)
 
 
 def drop_without_close(bars: DataFrame) -> DataFrame:

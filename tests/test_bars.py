@@ -1,5 +1,8 @@
+import time
 from datetime import date, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -174,3 +177,30 @@ def test_averages_skip_missing_values(spark):
     newest = trailing.trading_snapshot(df)
     assert newest.first()["averageDailyVolume10Day"] == 100.0
     assert "WindowGroupLimit" in newest._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_to_long_of_thousands_of_symbols(spark, tmp_path):
+    """18,000 columns; the plan has one expression for each field, not one for each symbol.
+
+    Parquet is read in batches whose memory grows with columns times rows, so a wide frame takes small ones.
+    """
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "64")
+    names = [f"{f}:S{k}" for k in range(6000) for f in ("Open", "Close", "Volume")]
+    cells = {n: [k, k + 1] if n.startswith("Vol") else [float(k), k + 1.0] for k, n in enumerate(names)}
+    pq.write_table(pa.table({"Date": [D(2024, 1, 1), D(2024, 1, 2)], **cells}), tmp_path / "wide.parquet")
+    wide = spark.read.parquet(str(tmp_path / "wide.parquet"))
+    start = time.perf_counter()
+    got = bars.wide_to_long(wide)
+    got._jdf.queryExecution().optimizedPlan()
+    assert time.perf_counter() - start < 30
+    try:
+        assert got.count() == 12_000
+        picked = got.where("symbol = 'S5999'").select("date", "open", "close", "volume", "high")
+        assert rows(picked) == [(D(2024, 1, 1 + d), 17997.0 + d, 17998.0 + d, 17999.0 + d, None) for d in (0, 1)]
+    finally:
+        spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+
+
+def test_wide_to_long_odd_names_and_types(spark):
+    df = spark.createDataFrame([("2024-01-02", "1.5", 2, 3.0, None)], "Date string, `A``B:Close` string, `C.D:Close` int, `E\nF:Close` double, `G:Close` double")
+    assert rows(bars.wide_to_long(df).select("symbol", "close")) == [("A`B", 1.5), ("C.D", 2.0), ("E\nF", 3.0)]
