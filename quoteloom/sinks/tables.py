@@ -21,6 +21,10 @@ def _spread(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+def ordered_by_partition(bars: DataFrame) -> DataFrame:
+    return _spread(bars, BAR_PARTITIONS).sortWithinPartitions(*BAR_PARTITIONS, "symbol")
+
+
 def as_bars(df: DataFrame, interval: str, source: str) -> DataFrame:
     """M1: the full bar schema; columns the source lacks are NULL."""
     given = {"interval": F.lit(interval), "source": F.lit(source)}
@@ -35,8 +39,7 @@ def as_bars(df: DataFrame, interval: str, source: str) -> DataFrame:
 def replace_dates(bars: DataFrame, path: str) -> None:
     """K1, O1: every date in ``bars`` is replaced as a whole, sorted by symbol; other dates and sources stay."""
     (
-        _spread(bars, BAR_PARTITIONS)
-        .sortWithinPartitions(*BAR_PARTITIONS, "symbol")
+        ordered_by_partition(bars)
         .write.partitionBy(*BAR_PARTITIONS)
         .mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .parquet(path)
@@ -54,11 +57,7 @@ def replace_dates_staged(bars: DataFrame, path: str) -> None:
 
 def append_bars(bars: DataFrame, path: str) -> None:
     """K3: add rows to the partitions they belong to."""
-    (
-        _spread(bars, BAR_PARTITIONS)
-        .sortWithinPartitions(*BAR_PARTITIONS, "symbol")
-        .write.partitionBy(*BAR_PARTITIONS).mode("append").parquet(path)
-    )
+    ordered_by_partition(bars).write.partitionBy(*BAR_PARTITIONS).mode("append").parquet(path)
 
 
 def _replace_value(df: DataFrame, path: str, column: str, value: int | str) -> None:
