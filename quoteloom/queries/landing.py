@@ -37,7 +37,7 @@ _BARS_SQL = """SELECT CAST(l_partkey AS VARCHAR) AS symbol, CAST(l_shipdate AS D
   WHERE CAST(l_shipdate AS DATE) IN (DATE '1998-01-05', DATE '1998-01-06', DATE '1998-01-07')"""
 
 
-def _all_lines(spark, sf) -> DataFrame:
+def all_lines(spark, sf) -> DataFrame:
     return i.table(spark, sf, "lineitem").select(
         F.col("l_partkey").cast("string").alias("symbol"), i.day("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("price"), F.col("l_quantity").cast("bigint").alias("size"),
@@ -47,7 +47,7 @@ def _all_lines(spark, sf) -> DataFrame:
 
 def _lines(spark, sf) -> DataFrame:
     days = [F.lit(f"1998-01-0{k}").cast("date") for k in (5, 6, 7)]
-    return _all_lines(spark, sf).filter(F.col("date").isin(*days))
+    return all_lines(spark, sf).filter(F.col("date").isin(*days))
 
 
 @query(
@@ -207,7 +207,7 @@ def batch_job_all_days_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the batch job, the second the same as the first: stored bars and the reject list."""
     bars, rejects = work_path(spark, "bars"), work_path(spark, "rejects")
     asked = i.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("symbol"), F.col("p_partkey").alias("pos"))
-    landed = _all_lines(spark, sf).select("symbol", "date", *[F.col("price").alias(c) for c in ("open", "high", "low", "close", "adj_close")], F.col("size").alias("volume"), F.col("line").alias("pos"))
+    landed = all_lines(spark, sf).select("symbol", "date", *[F.col("price").alias(c) for c in ("open", "high", "low", "close", "adj_close")], F.col("size").alias("volume"), F.col("line").alias("pos"))
     for _ in range(2):
         run_batch(spark, {"1d": landed}, asked, bars, rejects, date(2002, 1, 1), use_rejects=False)
     stored = read_bars(spark, bars, "1d").select("symbol", "date", "close", "volume", F.lit(False).alias("rejected"))
