@@ -179,26 +179,24 @@ def test_averages_skip_missing_values(spark):
     assert "WindowGroupLimit" in newest._jdf.queryExecution().executedPlan().toString()
 
 
-def test_wide_to_long_of_thousands_of_symbols(spark, tmp_path):
-    """18,000 columns; the plan has one expression for each field, not one for each symbol.
-
-    Parquet is read in batches whose memory grows with columns times rows, so a wide frame takes small ones.
-    """
-    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "64")
-    names = [f"{f}:S{k}" for k in range(6000) for f in ("Open", "Close", "Volume")]
+def wide_file(spark, tmp_path, n):
+    names = [f"{f}:S{k}" for k in range(n) for f in ("Open", "Close", "Volume")]
     cells = {n: [k, k + 1] if n.startswith("Vol") else [float(k), k + 1.0] for k, n in enumerate(names)}
     pq.write_table(pa.table({"Date": [D(2024, 1, 1), D(2024, 1, 2)], **cells}), tmp_path / "wide.parquet")
-    wide = spark.read.parquet(str(tmp_path / "wide.parquet"))
+    return spark.read.parquet(str(tmp_path / "wide.parquet"))
+
+
+def test_wide_to_long_of_thousands_of_symbols_plans_in_seconds(spark, tmp_path):
+    wide = wide_file(spark, tmp_path, 6000)
     start = time.perf_counter()
-    got = bars.wide_to_long(wide)
-    got._jdf.queryExecution().optimizedPlan()
+    bars.wide_to_long(wide)._jdf.queryExecution().optimizedPlan()
     assert time.perf_counter() - start < 30
-    try:
-        assert got.count() == 12_000
-        picked = got.where("symbol = 'S5999'").select("date", "open", "close", "volume", "high")
-        assert rows(picked) == [(D(2024, 1, 1 + d), 17997.0 + d, 17998.0 + d, 17999.0 + d, None) for d in (0, 1)]
-    finally:
-        spark.conf.unset("spark.sql.parquet.columnarReaderBatchSize")
+
+
+def test_wide_to_long_of_many_symbols(spark, tmp_path):
+    got = bars.wide_to_long(wide_file(spark, tmp_path, 200))
+    picked = got.where("symbol = 'S199'").select("date", "open", "close", "volume", "high")
+    assert rows(picked) == [(D(2024, 1, 1 + d), 597.0 + d, 598.0 + d, 599.0 + d, None) for d in (0, 1)]
 
 
 def test_wide_to_long_odd_names_and_types(spark):
