@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,17 +91,21 @@ def _split_name(name: str, sep: str) -> tuple[str, str] | None:
     raise ValueError(f"column {name!r} names no known field")
 
 
-def wide_to_long(wide: DataFrame, date_col: str = "Date", sep: str = ":", symbol: str | None = None) -> DataFrame:
+def wide_to_long(
+    wide: DataFrame, date_col: str = "Date", sep: str = ":", symbol: str | None = None, keep: list[str] | None = None
+) -> DataFrame:
     """One landed frame with symbol and field in the column names to one bar per row.
 
     The symbols are known from the column names, so each row is turned into an array of bars and
     inlined: no pivot and no shuffle. There is one array of names and one of values for each field, whatever the
     number of symbols; the column names go into them as one text each, so thousands of symbols plan in seconds.
-    A frame of plain field columns belongs to the one ``symbol``. Bars without Close are dropped.
+    A frame of plain field columns belongs to the one ``symbol``. Bars without Close are dropped. Columns in ``keep``
+    stay on every bar of their row.
     """
+    keep = keep or []
     found: dict[str, dict[str, str]] = {}
     for name in wide.columns:
-        if name == date_col:
+        if name == date_col or name in keep:
             continue
         parts = _split_name(name, sep)
         if parts:
@@ -112,9 +119,51 @@ def wide_to_long(wide: DataFrame, date_col: str = "Date", sep: str = ":", symbol
     for field, out in WIDE_FIELDS.items():
         names = [fields.get(field) for fields in found.values()]
         values[out] = F.expr(f"array({', '.join(map(_quoted, names))})" if any(names) else f"array_repeat(CAST(NULL AS DOUBLE), {len(names)})")
-    rows = wide.select(F.col(_quoted(date_col)).cast("date").alias("date"), _texts(list(found)).alias("symbol"), *[v.alias(c) for c, v in values.items()])
-    rows = rows.select("date", "symbol", *[F.col(c).cast("array<double>").alias(c) for c in values])
-    return drop_without_close(rows.select("date", F.inline(F.arrays_zip("symbol", *values))))
+    kept = [_quoted(c) for c in keep]
+    rows = wide.select(*kept, F.col(_quoted(date_col)).cast("date").alias("date"), _texts(list(found)).alias("symbol"), *[v.alias(c) for c, v in values.items()])
+    rows = rows.select(*kept, "date", "symbol", *[F.col(c).cast("array<double>").alias(c) for c in values])
+    return drop_without_close(rows.select(*kept, "date", F.inline(F.arrays_zip("symbol", *values))))
+
+
+def long_to_frames(bars: DataFrame, symbols: DataFrame, width: int = 100) -> DataFrame:
+    """Bars as wide frames of ``width`` symbols each, all in one table: ``frame``, ``Date`` and a column for each place and field.
+
+    ``symbols`` has ``symbol`` and its position ``pos`` from 1; position ``p`` is place ``(p - 1) % width`` of frame
+    ``(p - 1) div width``, and its columns are ``<place>:<Field>``. So the columns, and with them the plan, are as many
+    for any number of symbols, and more symbols are more rows. A date and frame without a bar has no row.
+    """
+    at = F.col("pos") - 1
+    placed = symbols.select("symbol", F.floor(at / width).cast("bigint").alias("frame"), (at % width).cast("int").alias("place"))
+    fields = {field: c for field, c in WIDE_FIELDS.items() if c in bars.columns}
+    cell = F.struct("place", *[F.col(c).cast("double").alias(c) for c in fields.values()])
+    rows = bars.join(placed, "symbol").groupBy("frame", F.col("date").alias("Date")).agg(F.collect_list(cell).alias("cells"))
+    rows = rows.select("frame", "Date", *[F.col("cells")[c].alias(c) for c in ("place", *fields.values())])
+    names = {f"{k}:{field}": (k, c) for k in range(width) for field, c in fields.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("place")
+            place = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy())
+            columns = {}
+            for c in fields.values():
+                found = batch.column(c).flatten()
+                value, none = np.zeros((width, len(batch))), np.ones((width, len(batch)), dtype=bool)
+                value[place, row] = found.fill_null(0).to_numpy()
+                none[place, row] = found.is_null().to_numpy(zero_copy_only=False)
+                columns[c] = [pa.array(value[k], mask=none[k]) for k in range(width)]
+            arrays = [batch.column("frame"), batch.column("Date"), *[columns[c][k] for k, c in names.values()]]
+            yield pa.RecordBatch.from_arrays(arrays, ["frame", "Date", *names])
+
+    kinds = ", ".join(f"`{n}` double" for n in names)
+    return rows.mapInArrow(run, f"frame long, Date date, {kinds}")
+
+
+def frames_to_long(frames: DataFrame, symbols: DataFrame, width: int = 100) -> DataFrame:
+    """Frames as :func:`long_to_frames` makes them, to one bar per row."""
+    places = wide_to_long(frames, keep=["frame"]).withColumnRenamed("symbol", "place")
+    at = (F.col("frame") * width + F.col("place").cast("int") + 1).alias("pos")
+    return places.select("*", at).join(symbols.select("symbol", "pos"), "pos").select("date", "symbol", *WIDE_FIELDS.values())
 
 
 def _quoted(name: str | None) -> str:

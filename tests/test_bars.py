@@ -8,6 +8,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from quoteloom.operators import bars, dedup, trailing
+from quoteloom.operators.numbering import dense_positions
 
 D = date
 
@@ -202,3 +203,15 @@ def test_wide_to_long_of_many_symbols(spark, tmp_path):
 def test_wide_to_long_odd_names_and_types(spark):
     df = spark.createDataFrame([("2024-01-02", "1.5", 2, 3.0, None)], "Date string, `A``B:Close` string, `C.D:Close` int, `E\nF:Close` double, `G:Close` double")
     assert rows(bars.wide_to_long(df).select("symbol", "close")) == [("A`B", 1.5), ("C.D", 2.0), ("E\nF", 3.0)]
+
+
+def test_frames_of_any_number_of_symbols_have_the_same_columns(spark):
+    data = [(f"S{k}", D(2024, 1, 1 + k % 2), float(k), k) for k in range(23)] + [("S3", D(2024, 1, 5), None, 7)]
+    long = spark.createDataFrame(data, "symbol string, date date, close double, volume bigint")
+    symbols = dense_positions(long.select("symbol").distinct(), ["symbol"])
+    wide = bars.long_to_frames(long, symbols, 4)
+    assert len(wide.columns) == 2 + 4 * 2 == len(bars.long_to_frames(long.where("symbol < 'S2'"), symbols, 4).columns)
+    assert wide.agg(F.max("frame")).first()[0] == 5
+    got = bars.frames_to_long(wide, symbols, 4)
+    assert got.columns == ["date", "symbol", "open", "high", "low", "close", "adj_close", "volume"]
+    assert sorted(rows(got.select("symbol", "date", "close", "volume"))) == sorted((s, d, c, float(v)) for s, d, c, v in data if c is not None)
