@@ -314,14 +314,18 @@ def clean_of_repeated_lines(docs: DataFrame) -> DataFrame:
 def clean_of_near_copies(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each group; documents without a word are one group, those without an id stay.
 
-    Groups are linked by a Jaccard similarity of 0.8 or more of their five-word shingles.
+    Groups are linked by a Jaccard similarity of 0.8 or more of their five-word shingles: SimHash groups are looked at
+    first, a prefix filter finds the pairs that differ in more than a few bits.
     """
     from quoteloom.llm.common import fresh
     from quoteloom.llm.nearcopies import near_copies
+    from quoteloom.llm.simhash import simhash_groups
     from quoteloom.session import stage
 
     (name,) = fresh(docs, "copy_id")
-    groups = near_copies(docs.select("doc_id", "text"))
+    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    prints = stage(simhash_groups(texts).select("id", "component"), "simhash-groups")
+    groups = near_copies(texts, grouped=prints)
     copies = stage(groups.where("id <> component").select(F.col("id").alias(name)), "copies")
     return docs.join(copies, F.col("doc_id") == F.col(name), "left_anti")
 

@@ -79,6 +79,11 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Frees disks of shuffles that no data frame needs any more: Spark deletes them when the driver collects garbage."""
+    spark._jvm.System.gc()
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match; marker files are found too, which readers leave out."""
     system, where = _hadoop(spark, pattern)

@@ -84,3 +84,21 @@ def test_prefix_length():
     for n in range(200):
         shared = next(k for k in range(n + 1) if 100 * k >= 80 * n)  # a similar set holds at least so many
         assert prefix_length(n, 80) == (n - shared + 1 if n else 0)
+
+
+def test_simhash_groups_go_first_and_change_no_result(spark, frame, words, monkeypatch):
+    rng = random.Random(11)
+    texts = [words(150) for _ in range(12)]
+    texts += [edited(rng, t, n) for t in texts for n in (1, 1, 4)] + ["", None]
+    rows = list(enumerate(texts))
+    want = brute(rows)
+    asked = []
+    real = nearcopies.near_copies
+    monkeypatch.setattr(nearcopies, "near_copies", lambda df, **kw: asked.append(kw["grouped"]) or real(df, **kw))
+    kept = {r.doc_id for r in clean_of_near_copies(frame(rows)).collect()}
+    assert kept == {i for i, c in want.items() if i == c}
+    (given,) = asked
+    assert 0 < given.where("id <> component").count() < len(want) - len(kept)  # SimHash alone misses some
+    wrong = spark.createDataFrame([(i, 0) for i, _ in rows], "id long, component long")
+    for grouped in (given, wrong, wrong.limit(0)):
+        assert {r.id: r.component for r in real(frame(rows), grouped=grouped).collect()} == want
