@@ -186,7 +186,8 @@ def records(lines: DataFrame) -> DataFrame:
     parts = placed.select("path", begin.alias("begin"), "at", F.struct("row_order", "value").alias("line"))
     whole = parts.groupBy("path", "begin").agg(F.min("at").alias("at"), F.sort_array(F.collect_list("line")).alias("lines"))
     text = F.array_join(F.transform("lines", lambda x: x["value"]), "\n")
-    whole = whole.select("path", text.alias("value"), F.col("begin").alias("row_order"), "at")
+    # Written once: headers and rows both read it, and each would put all records together again.
+    whole = stage(whole.select("path", text.alias("value"), F.col("begin").alias("row_order"), "at"), "records")
     return lines.join(ragged, "path", "left_anti").unionByName(whole)
 
 

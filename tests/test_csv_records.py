@@ -70,3 +70,10 @@ def test_quote_that_is_never_closed_opens_nothing(spark, tmp_path):
 def test_quotes_inside_plain_fields_are_text(spark, tmp_path):
     _, got = one(spark, tmp_path, 'a,b\n5" disk,x\n1,y"\n')
     assert got == [('5" disk', "x"), ("1", 'y"')]
+
+
+def test_records_are_put_together_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,note\n1,"two\nlines"\n2,one\n')
+    raw = read_csv(spark, [str(tmp_path / "a.csv")])
+    assert "collect_list" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.fields["note"] for r in raw.collect()) == ["one", "two\nlines"]
