@@ -2,8 +2,10 @@
 
 The state of a symbol is its last bars' running totals, in date order and as many as the longest span needs. The
 average of the last n bars is the difference of two totals, so new bars need nothing else. A bar on or before the
-newest date of its symbol is late: then the symbol's stored bars from its date on, and as many before as the longest
-span, are read again; all other symbols go on from their state.
+newest date of its symbol is late: then the symbol's stored bars are read again and its totals begin anew; all other
+symbols go on from their state.
+
+A delivery is dealt and sorted by symbol once: totals, averages and the rows of the next state come from that order.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ _TOTALS = "date date, total decimal(34,8), count bigint, volume_total bigint, vo
 STATE = f"symbol string, last array<struct<{', '.join(c.replace(' ', ':', 1) for c in _TOTALS.split(', '))}>>"
 
 
-def _added(rows: DataFrame) -> DataFrame:
+def _added(rows: DataFrame, also: list[str]) -> DataFrame:
     """Running totals by symbol: ``old`` rows have theirs, the others' values are added to the newest old ones."""
     upto = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     close, volume = exact(F.col("close")), F.col("volume")
@@ -28,7 +30,7 @@ def _added(rows: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0))
     before = lambda c: zero(F.last(F.when(F.col("old"), F.col(c)), ignorenulls=True).over(upto))
     return rows.select(
-        "symbol", "date", "close", "volume", "old",
+        "symbol", "date", "close", "volume", *also,
         (before("total") + zero(F.sum(new(close)).over(upto))).cast("decimal(34,8)").alias("total"),
         (before("count") + F.count(new(close)).over(upto)).alias("count"),
         (before("volume_total") + zero(F.sum(new(volume)).over(upto))).alias("volume_total"),
@@ -55,27 +57,26 @@ def advance(
 
     totals = [c.split()[0] for c in _TOTALS.split(", ")]
     on_time = state.join(first, "symbol", "left_semi").join(late, "symbol", "left_anti")
-    old = on_time.select("symbol", F.inline("last")).select("symbol", *totals, F.lit(True).alias("old"))
-    rows = old.unionByName(fresh.withColumn("old", F.lit(False)), allowMissingColumns=True)
+    old = on_time.select("symbol", F.inline("last")).select("symbol", *totals, F.lit(True).alias("old"), F.lit(False).alias("shown"))
+    rows = old.unionByName(fresh.withColumns({"old": F.lit(False), "shown": F.lit(True)}), allowMissingColumns=True)
     if not late.isEmpty():
-        again = one_bar_a_day(stored).select(*names).join(late, "symbol")
-        changed = again.where("date >= since").drop("since").join(fresh, ["symbol", "date"], "left_anti")
-        newest = Window.partitionBy("symbol").orderBy(F.desc("date"))
-        base = again.where("date < since").drop("since").withColumn("n", F.row_number().over(newest)).where(F.col("n") <= longest)
-        based = _added(base.drop("n").withColumns({"old": F.lit(False), **{c: F.lit(None).cast(k) for c, k in (t.split() for t in _TOTALS.split(", ")[1:])}}))
-        rows = rows.unionByName(based.select("symbol", *totals, F.lit(True).alias("old")), allowMissingColumns=True)
-        rows = rows.unionByName(changed.withColumn("old", F.lit(False)), allowMissingColumns=True)
-    done = stage(_added(rows), "totals")
+        again = one_bar_a_day(stored).select(*names).join(late, "symbol").where("date IS NOT NULL")
+        again = again.select(*names, F.lit(False).alias("old"), (F.col("date") >= F.col("since")).alias("shown"), F.lit(True).alias("stored"))
+        rows = rows.withColumn("stored", F.lit(False)).unionByName(again, allowMissingColumns=True)
+        # A stored bar stands before the delivered one of its date, which replaces it.
+        turns = Window.partitionBy("symbol").orderBy("date", F.desc("stored"))
+        rows = rows.withColumn("replaced", F.lead("date").over(turns).eqNullSafe(F.col("date"))).where("NOT replaced")
 
     order = Window.partitionBy("symbol").orderBy("date")
-    since = lambda c, n: F.col(c) - F.coalesce(F.lag(c, n).over(order), F.first(c).over(order) * 0)
-    values = done.select(
-        *names, "old",
+    since = lambda c, n: F.col(c) - F.coalesce(F.lag(c, n).over(order), F.lit(0))
+    done = _added(rows, ["old", "shown"]).select(
+        *names, "shown", *totals[1:],
         *[exact_mean(since("total", n), since("count", n)).alias(f"avg_{n}") for n in spans],
         exact_mean(since("volume_total", volume_span), since("volume_count", volume_span)).alias(f"avg_volume_{volume_span}"),
+        F.lead("symbol", longest).over(order).isNull().alias("last"),
     )
-    back = Window.partitionBy("symbol").orderBy(F.desc("date"))
-    last = done.withColumn("n", F.row_number().over(back)).where(F.col("n") <= longest)
-    last = last.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct(*totals))).alias("last"))
+    done = stage(done, "totals")
+    values = done.where("shown").drop("shown", "last", *totals[1:])
+    last = done.where("last").groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct(*totals))).alias("last"))
     kept = state.join(first, "symbol", "left_anti").select("symbol", "last").unionByName(last)
-    return values.where("NOT old").drop("old"), kept
+    return values, kept

@@ -349,13 +349,13 @@ def trailing_increments(spark, sf):
     late = F.pmod(F.unix_date("date"), F.lit(9)) == 4
     cuts = [F.col("date") < "1994-01-01", (F.col("date") >= "1994-01-01") & (F.col("date") < "1997-01-01"), F.col("date") >= "1997-01-01"]
     state, values, before = spark.createDataFrame([], STATE), None, None
-    for delivered in [bars.where(cut & ~late) for cut in cuts] + [bars.where(late)]:
+    for k, delivered in enumerate([bars.where(cut & ~late) for cut in cuts] + [bars.where(late)]):
         old = before if before is not None else bars.limit(0)
         now, state = advance(state, old, delivered)
-        now, state = stage(now, "values"), stage(state, "state")
-        values = now if values is None else values.join(now, ["symbol", "date"], "left_anti").unionByName(now)
+        state, now = stage(state, "state"), now.withColumn("k", F.lit(k))
+        values = now if values is None else values.unionByName(now)
         before = delivered if before is None else before.unionByName(delivered)
-    return values
+    return keep_last(values, ["symbol", "date"], "k").drop("k")
 
 
 def _ticks_sql(unit: str) -> str:

@@ -61,6 +61,15 @@ def test_nothing_delivered_keeps_the_state(spark):
     assert values.count() == 0 and rows(again) == rows(state)
 
 
+def test_a_delivery_is_dealt_and_sorted_once(spark):
+    bars = spark.createDataFrame(history(4), BARS)
+    even = F.pmod(F.unix_date("date"), F.lit(2)) == 0
+    _, state = advance(spark.createDataFrame([], STATE), bars.limit(0), stage(bars.where(even), "bars"))
+    values, after = advance(stage(state, "state"), bars.where(even), bars.where(~even))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(values) and "Window" not in plan(values) and "Window" not in plan(after)
+
+
 @pytest.mark.parametrize("days", [1, 2, 7, 40, 365, 5000])
 def test_high_low_against_loops(spark, days):
     rng = random.Random(days)
