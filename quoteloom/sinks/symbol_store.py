@@ -5,22 +5,29 @@ buckets that hold delivered symbols, writes them anew under the next version and
 completion is the switch. Before it readers see the store as it was, whatever was written; a merge that failed is run
 again and overwrites what it left. Buckets that neither this manifest nor the one before names are deleted.
 
-The list of buckets is the only thing the driver sees, and ``buckets`` bounds it. A bucket in which a symbol has very
-many bars is written as several files. One merge at a time: two at once would take the same version.
+Delivered bars, and stored ones of the delivered dates, are dealt once, by bucket and a slice of its symbols; a task then
+merges and sorts its slices and writes each as a part of its bucket. Stored bars of touched buckets that are older or newer
+than the whole delivery are copied file by file; a bucket that has got many files by that is dealt whole and has few again.
+
+The list of buckets is the only thing the driver sees, and ``buckets`` bounds it. One merge at a time: two at once would
+take the same version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quoteloom.operators.merge import upsert_new_wins, upsert_old_wins
 from quoteloom.schemas import BARS, empty
 from quoteloom.session import glob, remove, stage
 from quoteloom.sinks.tables import replace_state
 from quoteloom.sources.files import literal, read_table, versions
 
 MANIFEST = "bucket int, version bigint, buckets int"
+# Parts of a bucket that are merged apart; at most so many files each.
+SLICES = 8
+# Files of a bucket from which on it is dealt whole.
+MANY_FILES = 32
 
 
 def bucket_of(symbol: Column, buckets: int) -> Column:
@@ -54,30 +61,39 @@ def read_store(spark: SparkSession, path: str, symbols: list[str] | None = None,
 
 def merge_store(
     spark: SparkSession, delivered: DataFrame, path: str, buckets: int = 256, new_wins: bool = True,
-    keys: list[str] = ["symbol", "date"], schema: str = BARS,
+    keys: list[str] = ["symbol", "date"], schema: str = BARS, on_disk: bool = False,
 ) -> list[int]:
     """Merge bars, one per key, and return the buckets that were rewritten.
 
     Equal keys go to the delivered bar if ``new_wins``, else the stored one stays. ``buckets`` counts for the first
-    merge; the store keeps its number. Bars with a NULL in their key are not stored.
+    merge; the store keeps its number. Bars with a NULL in their key are not stored. ``on_disk`` says that the bars come
+    from files that don't change meanwhile, so they are not written once more before the merge reads them twice.
     """
     manifest = {r["bucket"]: r for r in read_manifest(spark, path).collect()}
     buckets = next(iter(manifest.values()))["buckets"] if manifest else buckets
     names = [f.split()[0] for f in schema.split(",")]
     new = delivered.dropna(subset=[*keys]).select(*names, bucket_of(F.col("symbol"), buckets).alias("bucket"))
-    new = stage(new, "delivered")
-    touched = sorted(r["bucket"] for r in new.select("bucket").distinct().collect())
+    new = new if on_disk else stage(new, "delivered")
+    found = new.groupBy("bucket").agg(F.min("date").alias("since"), F.max("date").alias("until")).collect()
+    touched = sorted(r["bucket"] for r in found)
     if not touched:
         return []
     old = _read_buckets(spark, path, {b: manifest[b]["version"] for b in touched if b in manifest}, schema)
-    merge = upsert_new_wins if new_wins else upsert_old_wins
-    merged = merge(old, new.select(*old.columns), [*keys])
+    few = [b for b in touched if b in manifest and len(glob(spark, f"{literal(path)}/data/version={manifest[b]['version']}/bucket={b}/*.parquet")) < MANY_FILES]
+    since, until = min(r["since"] for r in found), max(r["until"] for r in found)
+    aside = F.col("bucket").isin(few) & ~F.col("date").between(F.lit(since), F.lit(until))
     version = max(versions(spark, f"{path}/manifest"), default=0) + 1
+    both = old.where(~aside).withColumn("_turn", F.lit(1)).unionByName(new.withColumn("_turn", F.lit(0 if new_wins else 2)))
+    dealt = both.withColumn("_slice", F.pmod(F.xxhash64("symbol", F.lit("slice")), F.lit(SLICES))).repartition("bucket", "_slice")
+    # The window sorts by bucket, slice and key, which is also the order of the files.
+    first = F.lag("_turn").over(Window.partitionBy("bucket", "_slice", *keys).orderBy("_turn")).isNull()
+    merged = dealt.withColumn("_first", first).where("_first").drop("_turn", "_slice", "_first")
     (
-        merged.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "symbol", "date")
-        .write.partitionBy("bucket").mode("overwrite").option("partitionOverwriteMode", "static")
+        merged.write.partitionBy("bucket").mode("overwrite").option("partitionOverwriteMode", "static")
         .parquet(f"{path}/data/version={version}")
     )
+    if few:
+        old.where(aside).write.partitionBy("bucket").mode("append").parquet(f"{path}/data/version={version}")
     named = {b: version if b in touched else manifest[b]["version"] for b in {*touched, *manifest}}
     switch(spark, path, named, buckets)
     before = {(b, r["version"]) for b, r in manifest.items()}

@@ -81,3 +81,35 @@ def test_missing_store_and_bars_without_key(spark, tmp_path):
     assert merge(spark, path, {(None, "2024-01-01"): 1.0}) == []
     merge(spark, path, {(None, "2024-01-01"): 1.0, ("A", None): 2.0, ("A", "2024-01-01"): 3.0})
     assert rows(read_store(spark, path, schema=SMALL)) == [("A", "2024-01-01", 3.0)]
+
+
+def shuffled_records(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(*[getattr(store, f"stageList$default${k}")() if k > 1 else None for k in range(1, 6)])
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+
+@pytest.mark.parametrize("new_wins", [True, False])
+def test_bars_of_other_dates_are_copied_without_a_shuffle(spark, tmp_path, new_wins):
+    path = str(tmp_path)
+    wanted = {(f"S{s}", f"20{y}-{m:02d}-01"): float(s) for s in range(20) for y in range(10, 20) for m in range(1, 13)}
+    merge_store(spark, bars(spark, wanted), path, 1, schema=SMALL)
+    for k in range(2):  # inside the stored dates, then all newer
+        data = {("S1", "2012-05-01"): -1.0, ("S1", "2012-05-02"): -2.0} if k == 0 else {("S2", "2030-01-01"): 1.0}
+        before = shuffled_records(spark)
+        merge(spark, path, data, new_wins=new_wins)
+        assert shuffled_records(spark) - before < 300  # of 2400 stored bars
+        wanted = wanted | data if new_wins else data | wanted
+        assert stored(spark, path) == wanted
+
+
+def test_files_of_a_bucket_stay_few(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(symbol_store, "MANY_FILES", 4)
+    path, wanted = str(tmp_path), {}
+    for k in range(8):
+        data = {(f"S{s}", f"2024-01-{k + 1:02d}"): float(k) for s in range(30)}
+        merge_store(spark, bars(spark, data), path, 1, schema=SMALL)
+        wanted |= data
+    assert stored(spark, path) == wanted
+    versions = {r["version"] for r in read_manifest(spark, path).collect()}
+    assert len([f for f in files(path) if f"/version={max(versions)}/" in f]) < 4 + symbol_store.SLICES
