@@ -12,7 +12,7 @@ from quoteloom.operators.coverage import latest_dates, not_delivered
 from quoteloom.operators.dedup import keep_last
 from quoteloom.operators.info import with_attributes
 from quoteloom.operators.merge import upsert_new_wins
-from quoteloom.sinks.tables import as_bars, replace_dates, replace_rejects, replace_state, replace_table
+from quoteloom.sinks.tables import as_bars, replace_dates_of, replace_rejects, replace_state, replace_table
 from quoteloom.session import stage
 from quoteloom.sources.files import exists, read_table
 from quoteloom.sources.history import read_bars
@@ -43,7 +43,8 @@ def known_dates(spark: SparkSession, stored: DataFrame, interval: str, state_pat
 
 def wanted(landed: DataFrame, starts: DataFrame, end: date | str | None = None) -> DataFrame:
     """Landed bars of requested symbols from their own start on."""
-    rows = landed.join(starts, "symbol").filter(F.col("date") >= F.col("start"))
+    # The starts are hashed: landed rows are not sorted, and grouped where the join put them.
+    rows = landed.join(starts.hint("shuffle_hash"), "symbol").filter(F.col("date") >= F.col("start"))
     if end is not None:
         rows = rows.filter(F.col("date") < F.lit(str(end)).cast("date"))
     return rows.drop("start")
@@ -78,12 +79,14 @@ def run_history(
     new = stage(as_bars(new.drop("pos"), interval, "history"), "new")
     dates = [r[0] for r in new.select("date").distinct().collect()]
     touched = stored.filter(F.col("date").isin(dates))
-    merged = stage(upsert_new_wins(touched, new.select(*touched.columns)), "merged")
+    new = new.select(*touched.columns)
+    # Dates that are not stored yet need no merge; ``new`` is written already.
+    merged = new if touched.isEmpty() else stage(upsert_new_wins(touched, new), "merged")
     good = stage(
         last.select("symbol").unionByName(new.select("symbol")).join(symbols.select("symbol"), "symbol", "left_semi").distinct(),
         "good",
     )
-    replace_dates(merged, bars_path)
+    replace_dates_of(merged, bars_path, interval, "history")
     replace_table(good, clean_path)
     if state_path is not None:
         newest = last.unionByName(latest_dates(new)).groupBy("symbol").agg(F.max("last_date").alias("last_date"))

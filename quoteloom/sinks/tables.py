@@ -46,6 +46,15 @@ def replace_dates(bars: DataFrame, path: str) -> None:
     )
 
 
+def replace_dates_of(bars: DataFrame, path: str, interval: str, source: str) -> None:
+    """K1, O1: as :func:`replace_dates` for bars of one interval and source, in whose folder only dates are told apart."""
+    dates = bars.drop("interval", "source").hint("rebalance", F.col("date")).sortWithinPartitions("date", "symbol")
+    (
+        dates.write.partitionBy("date").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .parquet(f"{path}/interval={interval}/source={source}")
+    )
+
+
 def replace_dates_staged(bars: DataFrame, path: str) -> None:
     """K2: as :func:`replace_dates` for rows computed from the same table.
 

@@ -309,6 +309,23 @@ def test_batch_job(spark, tmp_path):
     assert files.read_table(spark, rejects, batch.BATCH_REJECTS).filter("symbol = 'NEW'").count() == 0
 
 
+def test_history_of_new_dates_is_not_merged(spark, tmp_path, monkeypatch):
+    store, rejects, clean = (str(tmp_path / n) for n in ("bars", "rejects", "clean"))
+    staged = []
+    monkeypatch.setattr(history, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    deliveries = [[], [("A", "2024-01-01", 1.0)], [("A", "2024-01-02", 2.0)], [("B", "2024-01-02", 3.0), ("A", "2024-01-03", 4.0)]]
+    merges, wanted = [], set()
+    for bars in deliveries:
+        staged.clear()
+        found = landed(spark, *(bars or [("Z", "2024-01-01", 0.0)]))  # nobody asked for Z
+        written = history.run_history(spark, symbols(spark, "A", "B"), found, store, "1d", rejects, clean, date(2024, 1, 9))
+        merges.append("merged" in staged)
+        wanted |= {(s, date.fromisoformat(d), c) for s, d, c in bars}
+        assert {tuple(r) for r in written.select("symbol", "date", "close").collect()} <= wanted
+        assert set(rows(history_source.read_bars(spark, store, "1d").select("symbol", "date", "close"))) == wanted
+    assert merges == [False, False, False, True]
+
+
 def test_history_job(spark, tmp_path):
     store, rejects, clean = (str(tmp_path / n) for n in ("bars", "rejects", "clean"))
     asked = symbols(spark, "A", "B", "GONE")
