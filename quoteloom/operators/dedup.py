@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _as_order(order: str | Column | list) -> Column:
+def as_order(order: str | Column | list) -> Column:
     if isinstance(order, (list, tuple)):
         return F.struct(*order)
     return F.col(order) if isinstance(order, str) else order
@@ -23,7 +23,7 @@ _FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType,
 
 
 def _pick(df: DataFrame, keys: list[str], order, pick) -> DataFrame:
-    by = _as_order(order)
+    by = as_order(order)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()

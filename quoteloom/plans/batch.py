@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteloom.functions.dates import resolve_range
-from quoteloom.operators.bars import batch_bars, select_dates
-from quoteloom.operators.coverage import newly_rejected, written_counts
+from quoteloom.operators.bars import drop_without_close, select_dates
+from quoteloom.operators.coverage import newly_rejected
 from quoteloom.operators.merge import add_rejects
 from quoteloom.operators.universe import clean_batch_symbols, restrict
-from quoteloom.sinks.tables import as_bars, replace_dates, replace_state
+from quoteloom.sinks.tables import replace_dates_by_first, replace_state
 from quoteloom.session import stage
 from quoteloom.sources.files import read_table
 
@@ -24,17 +24,6 @@ def requested_symbols(raw_list: DataFrame, rejects: DataFrame | None) -> DataFra
     return clean_batch_symbols(raw_list.select("symbol", "pos"), "pos", rejects)
 
 
-def prepare_bars(
-    landed: DataFrame, symbols: DataFrame, order, start=None, end=None, period: str = "max", as_of=None
-) -> DataFrame:
-    """Landed rows of the requested symbols, cut by date, one per (date, symbol).
-
-    Date and close filters come first so that they reach the scan; the semi-join follows, and only
-    then the rows are grouped.
-    """
-    return batch_bars(restrict(select_dates(landed, start, end, period, as_of), symbols), order)
-
-
 def run_batch(
     spark: SparkSession,
     landed: dict[str, DataFrame],
@@ -46,9 +35,12 @@ def run_batch(
     ranges: dict[str, tuple] | None = None,
     use_rejects: bool = True,
 ) -> dict[str, DataFrame]:
-    """Write bars per interval and extend the reject list; returns the distinct counts per interval.
+    """Write the first bar of each requested symbol and date per interval, and extend the reject list.
+
+    Returns the distinct counts per interval.
 
-    ``landed`` maps interval to long bars; ``ranges`` maps interval to (start, end, period).
+    ``landed`` maps interval to long bars; ``ranges`` maps interval to (start, end, period). Rows go straight to their
+    dates, which are then replaced as a whole.
     """
     known = read_table(spark, rejects_path, BATCH_REJECTS)
     symbols = stage(requested_symbols(raw_list, known if use_rejects else None), "symbols")
@@ -56,11 +48,11 @@ def run_batch(
     for interval, rows in landed.items():
         start, end, period = (ranges or {}).get(interval, (None, None, "max"))
         start, end = resolve_range(start, end, today)
-        bars = as_bars(prepare_bars(rows, symbols, order, start, end, period, today), interval, "batch")
-        bars = stage(bars, "bars")
-        replace_dates(bars, bars_path)
-        counts[interval] = written_counts(bars)
-        seen.append(bars.select("interval", "symbol").distinct())
+        rows = drop_without_close(select_dates(rows, start, end, period, today))
+        delivered = stage(restrict(rows.select("symbol").distinct(), symbols), "delivered")
+        dates = replace_dates_by_first(restrict(rows, symbols), bars_path, interval, "batch", order, sizes=rows)
+        counts[interval] = delivered.agg(F.lit(dates).cast("bigint").alias("dates"), F.count("symbol").alias("symbols"))
+        seen.append(delivered.withColumn("interval", F.lit(interval)))
     delivered = seen[0]
     for more in seen[1:]:
         delivered = delivered.unionByName(more)

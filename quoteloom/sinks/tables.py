@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from quoteloom.operators.dedup import as_order
 from quoteloom.schemas import BARS, REJECTS
 from quoteloom.session import remove, stage
 from quoteloom.sources.files import versions
 
 # Bars of one source never replace those of another.
 BAR_PARTITIONS = ["interval", "source", "date"]
+# Rows of one date that a task of ``replace_dates_by_first`` takes; a date with more is dealt to several by symbol.
+ROWS_A_PART = 2_000_000
 
 
 def _spread(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -55,6 +58,29 @@ def replace_dates_of(bars: DataFrame, path: str, interval: str, source: str) ->
     )
 
 
+def replace_dates_by_first(rows: DataFrame, path: str, interval: str, source: str, order, sizes: DataFrame | None = None) -> int:
+    """As :func:`replace_dates_of` for the first row of each date and symbol in ``order``; gives the number of dates.
+
+    Rows are shuffled once, by date, and the sort that the files need brings the rows of a key together as well.
+    ``sizes`` has at least the rows of each date, when these are quicker to count than ``rows`` themselves. The dates
+    are gathered as a set, which the calendar bounds.
+    """
+    sizes = rows if sizes is None else sizes
+    parts = sizes.groupBy("date").agg(F.ceil(F.count("*") / ROWS_A_PART).alias("_parts")).where("_parts > 1")
+    part = F.pmod(F.xxhash64("symbol"), F.coalesce("_parts", F.lit(1)))
+    dealt = rows.join(F.broadcast(parts), "date", "left").withColumn("_part", part).repartition("date", "_part")
+    key = Window.partitionBy("date", "symbol", "_part").orderBy(as_order(order))
+    first = dealt.withColumn("_nth", F.row_number().over(key)).where("_nth = 1")
+    seen = Observation()
+    (
+        as_bars(first, interval, source).drop("interval", "source")
+        .observe(seen, F.size(F.collect_set("date")).alias("dates"))
+        .write.partitionBy("date").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .parquet(f"{path}/interval={interval}/source={source}")
+    )
+    return seen.get.get("dates") or 0
+
+
 def replace_dates_staged(bars: DataFrame, path: str) -> None:
     """K2: as :func:`replace_dates` for rows computed from the same table.
 

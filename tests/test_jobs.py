@@ -309,6 +309,30 @@ def test_batch_job(spark, tmp_path):
     assert files.read_table(spark, rejects, batch.BATCH_REJECTS).filter("symbol = 'NEW'").count() == 0
 
 
+@pytest.mark.parametrize("most", [2, 1000])
+def test_batch_bars_are_written_once(spark, tmp_path, monkeypatch, request, most):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    request.addfinalizer(lambda before=spark.conf.get(name): spark.conf.set(name, before))
+    spark.conf.set(name, "false")
+    monkeypatch.setattr(tables, "ROWS_A_PART", most)
+    staged = []
+    monkeypatch.setattr(batch, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    store, rejects = str(tmp_path / "bars"), str(tmp_path / "rejects")
+    names = [f"S{k}" for k in range(20)]
+    days = ["2024-01-02"] * 3 + ["2024-01-03", None]
+    given = [(n, d, float(10 * k + j)) for k, n in enumerate(names) for j, d in enumerate(days)]
+    found = landed(spark, *given, ("S1", "2024-01-04", None), ("Z", "2024-01-05", 1.0)).repartition(3)
+    for _ in range(2):
+        counts = batch.run_batch(spark, {"1d": found}, symbols(spark, *names, "GONE"), store, rejects, date(2024, 1, 9), use_rejects=False)
+    assert "bars" not in staged and tuple(counts["1d"].first()) == (2, 20)
+    want = {(n, date.fromisoformat(days[j]), float(10 * k + j)) for k, n in enumerate(names) for j in (0, 3)}  # no date is in no period
+    stored = history_source.read_bars(spark, store, "1d").select("symbol", "date", "close")
+    assert stored.count() == len(want) and {tuple(r) for r in stored.collect()} == want
+    assert rows(files.read_table(spark, rejects, batch.BATCH_REJECTS)) == [("GONE", date(2024, 1, 9))]
+    parts = list((tmp_path / "bars" / "interval=1d" / "source=batch" / "date=2024-01-02").glob("*.parquet"))
+    assert (len(parts) > 1) == (most == 2)  # a large date is dealt to several tasks
+
+
 def test_history_of_new_dates_is_not_merged(spark, tmp_path, monkeypatch):
     store, rejects, clean = (str(tmp_path / n) for n in ("bars", "rejects", "clean"))
     staged = []
