@@ -102,3 +102,28 @@ def test_simhash_groups_go_first_and_change_no_result(spark, frame, words, monke
     wrong = spark.createDataFrame([(i, 0) for i, _ in rows], "id long, component long")
     for grouped in (given, wrong, wrong.limit(0)):
         assert {r.id: r.component for r in real(frame(rows), grouped=grouped).collect()} == want
+
+
+def test_marks_leave_only_pairs_that_may_be_similar(spark, frame, words, monkeypatch):
+    rng = random.Random(5)
+    texts = [words(rng.randint(1, 400)) for _ in range(30)]
+    texts += [edited(rng, t, min(len(t.split()), n)) for t in texts for n in (1, 5, 9, 12)]
+    sets = [nearcopies.shingles(t) for t in texts]
+    marked = spark.createDataFrame([(k, len(s), nearcopies.marks(s).tolist()) for k, s in enumerate(sets)], "node long, n long, marks array<long>")
+    both = [(a, b) for a in range(len(sets)) for b in range(a)]
+    pairs = spark.createDataFrame(both, "u long, v long")
+    kept = {tuple(r) for r in nearcopies.possible(pairs, marked, 80).collect()}
+    alike = {(a, b) for a, b in both if 5 * len(set(sets[a]) & set(sets[b])) >= 4 * len(set(sets[a]) | set(sets[b]))}
+    assert alike <= kept and 0 < len(alike) and len(kept) < len(both) / 20
+
+
+def test_sets_are_made_for_possible_pairs_only(spark, frame, words, monkeypatch):
+    passage = words(60)
+    rows = [(k, f"{words(150)} {passage} {words(150)}") for k in range(30)]
+    rows += [(30 + k, edited(random.Random(k), rows[k][1], 2)) for k in range(3)]
+    asked = []
+    real = nearcopies._sets
+    monkeypatch.setattr(nearcopies, "_sets", lambda rows, wanted, size: asked.append(wanted.count()) or real(rows, wanted, size))
+    monkeypatch.setattr(nearcopies, "SAMPLE_DOCS", 0)  # so that the passage is in the prefixes of many texts
+    assert {r.id: r.component for r in near_copies(frame(rows)).collect()} == brute(rows)
+    assert 0 < sum(asked) <= 12
