@@ -12,8 +12,7 @@ from quoteloom.functions.symbols import clean_symbol
 from quoteloom.functions.text import number, parses_or_missing, whole
 from quoteloom.operators.dedup import keep_last
 from quoteloom.schemas import BULK_COLUMNS, empty
-from quoteloom.session import stage
-from quoteloom.sources.files import field, file_path, list_files, name_of, read_csv, read_csv_folder
+from quoteloom.sources.files import computed, field, file_path, list_files, name_of, read_csv, read_csv_folder
 
 # Above any row position inside one file, see ``row_order``; leaves room for 10**14 files of one date.
 FILE_STEP = "1000000000000000000000000"
@@ -33,12 +32,12 @@ def latest_files(spark: SparkSession, folder: str) -> tuple[date | None, list[st
     return (rows[0]["file_date"], [r["path"] for r in rows]) if rows else (None, [])
 
 
-def has_bulk_columns(raw: DataFrame) -> DataFrame:
-    """Rows of the files that have all needed columns."""
+def has_bulk_columns(files: DataFrame) -> DataFrame:
+    """The files that have all needed columns, by their header ``names``."""
     has = F.lit(True)
     for header, _ in BULK_COLUMNS:
-        has = has & F.map_contains_key("fields", header)
-    return raw.filter(has)
+        has = has & F.array_contains("names", header)
+    return files.filter(has)
 
 
 def bulk_rows(raw: DataFrame) -> DataFrame:
@@ -49,28 +48,20 @@ def bulk_rows(raw: DataFrame) -> DataFrame:
     a date in its name (B10), and the order columns.
     """
     text = {out: F.col(f"`{header}`").cast("string") for header, out in BULK_COLUMNS}
-    valid = (
-        F.col("date").isNotNull()
-        & clean_symbol(text["symbol"]).isNotNull()
-        & number(text["open"]).isNotNull()
-        & number(text["close"]).isNotNull()
-        & whole(text["volume"]).isNotNull()
-        & parses_or_missing(text["high"])
-        & parses_or_missing(text["low"])
-    )
+    prices = [number(text[c]).alias(c) for c in ("open", "high", "low", "close")]
+    may_miss = parses_or_missing(text["high"]) & parses_or_missing(text["low"])
+    bar = F.struct(clean_symbol(text["symbol"]).alias("symbol"), *prices, whole(text["volume"]).alias("volume"), may_miss.alias("valid"))
     keep = [c for c in ("file_name", "file_no", "row_order") if c in raw.columns]
-    return raw.filter(valid).select(
-        "date",
-        clean_symbol(text["symbol"]).alias("symbol"),
-        *[number(text[c]).alias(c) for c in ("open", "high", "low", "close")],
-        whole(text["volume"]).alias("volume"),
-        *keep,
+    parsed = computed(raw.select("date", *keep, *[f"`{header}`" for header, _ in BULK_COLUMNS]), "_bar", bar)
+    needed = " AND ".join(f"{c} IS NOT NULL" for c in ("date", "_bar.symbol", "_bar.open", "_bar.close", "_bar.volume"))
+    return parsed.filter(f"_bar.valid AND {needed}").select(
+        "date", *[f"_bar.{c}" for c in ("symbol", "open", "high", "low", "close", "volume")], *keep
     )
 
 
 def read_bulk(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Valid rows of several files, see :func:`rows_of_files`."""
-    return rows_of_files(read_csv(spark, paths))
+    return rows_of_files(read_csv(spark, paths, bulk_files))
 
 
 def read_bulk_folder(spark: SparkSession, folder: str, where: Column | None = None, only: DataFrame | None = None) -> DataFrame:
@@ -79,7 +70,7 @@ def read_bulk_folder(spark: SparkSession, folder: str, where: Column | None = No
     Files without a date in their name are left out by name, before they are read.
     """
     dated = scanned_date().isNotNull()
-    return rows_of_files(read_csv_folder(spark, folder, dated if where is None else dated & where, only))
+    return rows_of_files(read_csv_folder(spark, folder, dated if where is None else dated & where, only, of_files=bulk_files))
 
 
 def scanned_date() -> Column:
@@ -87,24 +78,17 @@ def scanned_date() -> Column:
     return file_date(name_of(file_path()))
 
 
-def rows_of_files(raw: DataFrame) -> DataFrame:
-    """Valid rows; a file without the needed columns gives none.
-
-    ``file_no`` ranks the files by name among those of the same date.
-    """
-    raw = has_bulk_columns(raw).withColumn("date", file_date(F.col("file_name")))
-    text = [field(header).alias(header) for header, _ in BULK_COLUMNS]
-    rows = bulk_rows(raw.select("date", "file_name", "row_order", *text))
-    return numbered(rows)
+def bulk_files(files: DataFrame) -> DataFrame:
+    """The dated files with all needed columns, with ``date`` and ``file_no``, their rank by name among those of the date."""
+    dated = has_bulk_columns(files).withColumn("date", file_date(F.col("file_name"))).filter(F.col("date").isNotNull())
+    by_name = Window.partitionBy("date").orderBy("file_name")
+    return dated.withColumn("file_no", F.dense_rank().over(by_name).cast("bigint"))
 
 
-def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``file_no``, the rank of ``file_name`` among the names of the same date."""
-    rows = stage(rows, "bulk-rows")
-    by_name = Window.partitionBy("date").orderBy("file_name")
-    files = rows.select("date", "file_name").distinct()
-    files = stage(files.withColumn("file_no", F.row_number().over(by_name).cast("bigint")), "bulk-files")
-    return rows.join(files, ["date", "file_name"]).select(*rows.columns, "file_no")
+def rows_of_files(raw: DataFrame) -> DataFrame:
+    """Valid rows; a file without a date or the needed columns gives none, see :func:`bulk_files`."""
+    text = [field(header).alias(header) for header, _ in BULK_COLUMNS]
+    return bulk_rows(raw.select("date", "file_name", "file_no", "row_order", *text))
 
 
 def last_written(rows: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from quoteloom.sources.files import columns_of, read_csv, read_wide_csv
+from quoteloom.sources.files import columns_of, field, read_csv, read_wide_csv
 
 PIECES = ["a", "b c", '""', ",", "\n", "\n\n", "é", "1.5"]
 
@@ -77,3 +78,25 @@ def test_records_are_put_together_once(spark, tmp_path):
     raw = read_csv(spark, [str(tmp_path / "a.csv")])
     assert "collect_list" not in raw._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r.fields["note"] for r in raw.collect()) == ["one", "two\nlines"]
+
+
+def test_fields_of_a_row_are_computed_once_for_all_uses(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,note\n1,"two\nlines"\n2,one\n')
+    raw = read_csv(spark, [str(tmp_path / "a.csv")])
+    used = raw.where(field("x").isNotNull() & (field("note") != "none")).select(field("x").cast("int"), field("x"), field("note"))
+    assert used._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
+    assert sorted(tuple(r) for r in used.collect()) == [(1, "1", "two\nlines"), (2, "2", "one")]
+
+
+def test_columns_of_files_go_to_their_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,note\n1,"two\nlines"\n')
+    (tmp_path / "b.csv").write_text("x\n2\n3\n")
+    (tmp_path / "c.csv").write_text("y\n4\n")
+
+    def with_size(files):
+        return files.where(F.array_contains("names", "x")).withColumn("n", F.size("names"))
+
+    got = read_csv(spark, [str(tmp_path / f"{c}.csv") for c in "abc"], with_size)
+    assert sorted((r.file_name, r.fields["x"], r.n) for r in got.collect()) == [("a.csv", "1", 2), ("b.csv", "2", 1), ("b.csv", "3", 1)]
+    none = read_csv(spark, [], with_size)
+    assert none.columns == got.columns and none.count() == 0
