@@ -127,3 +127,12 @@ def test_sets_are_made_for_possible_pairs_only(spark, frame, words, monkeypatch)
     monkeypatch.setattr(nearcopies, "SAMPLE_DOCS", 0)  # so that the passage is in the prefixes of many texts
     assert {r.id: r.component for r in near_copies(frame(rows)).collect()} == brute(rows)
     assert 0 < sum(asked) <= 12
+
+
+def test_texts_of_one_id_link_their_copies(spark, frame, words):
+    a, b, c, d = (words(80) for _ in range(4))
+    rows = [(2, b), (3, a), (5, a), (5, b), (7, c), (7, "x y"), (8, d), (9, edited(random.Random(2), c, 1))]
+    want = {2: 2, 3: 2, 5: 2, 7: 7, 8: 8, 9: 7}
+    assert {tuple(r) for r in near_copies(frame(rows)).collect()} == set(want.items())
+    assert sorted(r.doc_id for r in clean_of_near_copies(frame(rows)).collect()) == [2, 7, 7, 8]
+    assert {tuple(r) for r in near_copies(frame([(1, a), (1, b), (1, "")])).collect()} == {(1, 1)}
