@@ -11,7 +11,7 @@ from quoteloom.operators.merge import insert_only
 from quoteloom.operators.universe import restrict
 from quoteloom.session import stage
 from quoteloom.sinks.tables import append_bars, as_bars, replace_rejects
-from quoteloom.sources.bulk import dated_files, last_written, read_bulk, read_bulk_folder, scanned_date
+from quoteloom.sources.bulk import dated_files, last_written, read_bulk, read_bulk_folder
 from quoteloom.sources.files import name_of
 from quoteloom.sources.history import read_bars
 from quoteloom.sources.ledger import landed_files, pending, record
@@ -83,7 +83,7 @@ def run_latest_bulk(
     newest = dated_files(spark, folder).agg(F.max("file_date")).first()[0]
     if newest is None:
         return None
-    rows = read_bulk_folder(spark, folder, scanned_date() == F.lit(newest))
+    rows = read_bulk_folder(spark, folder, day=newest)
     return merge_rows(spark, rows, symbols, bars_path, interval, rejects_path)
 
 

@@ -12,10 +12,12 @@ from quoteloom.functions.symbols import clean_symbol
 from quoteloom.functions.text import number, parses_or_missing, whole
 from quoteloom.operators.dedup import keep_last
 from quoteloom.schemas import BULK_COLUMNS, empty
-from quoteloom.sources.files import computed, field, file_path, list_files, name_of, read_csv, read_csv_folder
+from quoteloom.sources.files import computed, field, list_files, read_csv, read_csv_folder
 
 # Above any row position inside one file, see ``row_order``; leaves room for 10**14 files of one date.
 FILE_STEP = "1000000000000000000000000"
+# What a name with a date looks like to the listing; whether it is a calendar date is decided by ``file_date``.
+DATE_GLOB = "-".join(["[0-9]" * 4, "[0-9]" * 2, "[0-9]" * 2])
 
 
 def dated_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,23 +66,24 @@ def read_bulk(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows_of_files(read_csv(spark, paths, bulk_files))
 
 
-def read_bulk_folder(spark: SparkSession, folder: str, where: Column | None = None, only: DataFrame | None = None) -> DataFrame:
-    """As :func:`read_bulk` for all dated files of a folder, or those of them that ``where`` and ``only`` keep.
+def read_bulk_folder(
+    spark: SparkSession, folder: str, where: Column | None = None, only: DataFrame | None = None, day: date | None = None
+) -> DataFrame:
+    """As :func:`read_bulk` for all dated files of a folder, those of ``day``, or those that ``where`` and ``only`` keep.
 
-    Files without a date in their name are left out by name, before they are read.
+    Files without a date in their name are left out when the folder is listed, and no line is asked for its file's date.
     """
-    dated = scanned_date().isNotNull()
-    return rows_of_files(read_csv_folder(spark, folder, dated if where is None else dated & where, only, of_files=bulk_files))
+    names = f"*{day or DATE_GLOB}*.csv"
+    return rows_of_files(read_csv_folder(spark, folder, where, only, names, lambda files: bulk_files(files, day)))
 
 
-def scanned_date() -> Column:
-    """Date in the name of the scanned file."""
-    return file_date(name_of(file_path()))
+def bulk_files(files: DataFrame, day: date | None = None) -> DataFrame:
+    """The files of ``day``, or with any date, that have all needed columns.
 
-
-def bulk_files(files: DataFrame) -> DataFrame:
-    """The dated files with all needed columns, with ``date`` and ``file_no``, their rank by name among those of the date."""
-    dated = has_bulk_columns(files).withColumn("date", file_date(F.col("file_name"))).filter(F.col("date").isNotNull())
+    They get ``date`` and ``file_no``, their rank by name among those of the date.
+    """
+    dated = has_bulk_columns(files).withColumn("date", file_date(F.col("file_name")))
+    dated = dated.filter(F.col("date").isNotNull() if day is None else F.col("date") == F.lit(day))
     by_name = Window.partitionBy("date").orderBy("file_name")
     return dated.withColumn("file_no", F.dense_rank().over(by_name).cast("bigint"))
 
